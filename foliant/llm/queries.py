@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -23,9 +24,49 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.decontam import leaks
+
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.lines import drop_lines
+
+    return drop_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.media import digests, store
+
+    return digests(store(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing,)}
+    every = (
+        op1_best_fit_packing,
+        op2_benchmark_decontamination,
+        op3_minhash_near_dedup,
+        op4_toxicity,
+        op9_line_dedup,
+        op10_media_columns,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from foliant.llm import lines
+
+    return {"op9_line_dedup": lines.oracle()}
