@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import os
 import shutil
+import sys
 import tempfile
 import uuid
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,12 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def process_memory(name: str) -> dict:
+    """A dictionary that lasts as long as the worker process, so that later tasks find what earlier ones looked up."""
+    home = sys.modules.setdefault("_foliant_process_memory", ModuleType("_foliant_process_memory"))
+    return home.__dict__.setdefault(name, {})
+
+
 def ascii_lower(c):
     """Lower-case A-Z only; other letters keep their case."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

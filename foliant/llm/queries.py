@@ -42,6 +42,30 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.chat import format_chat
+
+    return format_chat(_table(spark, sf_dir, "conversations"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.html_extract import extract
+
+    return extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.substring import repeated_passages
+
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from foliant.llm.lm import scores
+
+    return scores(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from foliant.llm.lines import drop_lines
 
@@ -60,6 +84,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_benchmark_decontamination,
         op3_minhash_near_dedup,
         op4_toxicity,
+        op5_chat_formatting,
+        op6_html_extraction,
+        op7_substring_dedup,
+        op8_lm_scoring,
         op9_line_dedup,
         op10_media_columns,
     )
@@ -67,6 +95,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from foliant.llm import lines
+    from foliant.llm import chat, lines
 
-    return {"op9_line_dedup": lines.oracle()}
+    return {"op5_chat_formatting": chat.oracle(), "op9_line_dedup": lines.oracle()}
