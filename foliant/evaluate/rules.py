@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.links import AUTHORITIES, SECURE, URI
 from foliant.functions.names import ALIASES, CONJUNCTIONS, TITLE_PHRASES, TITLES, has_brackets, initials_only, rdf_text
-from foliant.nulls import col, trim
+from foliant.nulls import col, let, trim
 
 #: ISO 639-2 codes in use, and those of older stages of a language.
 CODES = """
@@ -31,8 +31,15 @@ def _only(*cases: Column) -> Column:
     return F.array_compact(F.array(*cases))
 
 
+def _text(value: str) -> Column:
+    return F.coalesce(trim(value), F.lit(""))
+
+
 def dates(value: str, form: str) -> Column:
-    v, f = F.coalesce(trim(value), F.lit("")), F.coalesce(col(form), F.lit(""))
+    return let(F.struct(_text(value).alias("v"), F.coalesce(col(form), F.lit("")).alias("f")), lambda x: _dates(x["v"], x["f"]))
+
+
+def _dates(v: Column, f: Column) -> Column:
     empty = v == ""
     masked = v.rlike(r"^-?\d{1,3}X{1,3}\z") & (F.length(F.regexp_replace(v, "^-", "")) == 4)
     unknown = F.length(F.regexp_extract(v, "(X*)$", 1))
@@ -50,7 +57,10 @@ def dates(value: str, form: str) -> Column:
 
 
 def links(value: str) -> Column:
-    v = F.coalesce(trim(value), F.lit(""))
+    return let(_text(value), _links)
+
+
+def _links(v: Column) -> Column:
     empty, several = v == "", v.rlike("[;|]")
     uri = v.rlike(r"^https?://\S+\z")
     host, scheme = F.lower(F.regexp_extract(v, URI, 2)), F.regexp_extract(v, URI, 1)
@@ -66,7 +76,10 @@ def links(value: str) -> Column:
 
 
 def language(value: str) -> Column:
-    v = F.lower(F.coalesce(trim(value), F.lit("")))
+    return let(F.lower(_text(value)), _language)
+
+
+def _language(v: Column) -> Column:
     empty, several = v == "", v.rlike("[;,]")
     shaped = v.rlike(r"^[a-z]{3}\z")
     return _only(
@@ -79,7 +92,11 @@ def language(value: str) -> Column:
 
 
 def place(value: str, original: str, tgn_id: str, country: str, longitude: str, latitude: str) -> Column:
-    p, o, t, c, x, y = (F.coalesce(trim(n), F.lit("")) for n in (value, original, tgn_id, country, longitude, latitude))
+    names = (value, original, tgn_id, country, longitude, latitude)
+    return let(F.struct(*[_text(n).alias(f"f{i}") for i, n in enumerate(names)]), lambda r: _place(*[r[f"f{i}"] for i in range(len(names))]))
+
+
+def _place(p: Column, o: Column, t: Column, c: Column, x: Column, y: Column) -> Column:
     none = (p == "") & (c == "")
     placed, known = (p != "") & ~none, (t != "") & ~none
     inside = F.coalesce(x.try_cast("double").between(-180, 180) & y.try_cast("double").between(-90, 90), F.lit(False))
@@ -98,7 +115,10 @@ def place(value: str, original: str, tgn_id: str, country: str, longitude: str,
 
 
 def publisher(value: str) -> Column:
-    v = F.coalesce(trim(value), F.lit(""))
+    return let(_text(value), _publisher)
+
+
+def _publisher(v: Column) -> Column:
     full = v != ""
     return _only(
         _case(~full, "missing_value", "error"),
@@ -112,7 +132,10 @@ def publisher(value: str) -> Column:
 
 def person_name(value: str) -> Column:
     """Names that still look damaged: empty, tagged, bracketed, aliased, titled, joined, abbreviated, digits, one letter, case."""
-    v = F.coalesce(trim(value), F.lit(""))
+    return let(_text(value), _person_name)
+
+
+def _person_name(v: Column) -> Column:
     full = v != ""
     titles = "|".join([*TITLE_PHRASES, *TITLES])
     joins = "|".join(CONJUNCTIONS)

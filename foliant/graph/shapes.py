@@ -52,8 +52,8 @@ def violations(t: DataFrame, shapes: list[Shape], prefixes: dict[str, str] | Non
     typed = t.where(F.col("p") == expand(TYPE, names)).select(F.col("s").alias("node"), F.col("o").alias("target")).distinct()
     nodes = typed.join(F.broadcast(table), "target")
     values = t.select(F.col("s").alias("node"), F.col("p").alias("path"), "o", "kind", "datatype")
-    classes = typed.select(F.col("node").alias("o"), F.col("target").alias("o_class"))
-    j = nodes.join(values, ["node", "path"], "left").join(classes, (F.col("want_node") == F.col("o_class")) & values["o"].eqNullSafe(classes["o"]), "left").drop(classes["o"])
+    classes = typed.select(F.col("node").alias("value"), F.col("target").alias("o_class"))
+    j = nodes.join(values, ["node", "path"], "left").join(classes, (F.col("want_node") == F.col("o_class")) & (F.col("o") == F.col("value")), "left")
     bad = lambda c: F.count_if(F.col("o").isNotNull() & F.coalesce(c, F.lit(False)))
     per = j.groupBy("shape", "target", "path", "least", "most", "node").agg(
         F.count("o").alias("n"), bad(F.col("want_kind") != F.col("kind")).alias("bad_kind"),

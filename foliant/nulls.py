@@ -19,6 +19,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(c: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def trim(c: Column | str) -> Column:
     """Strip every kind of Unicode white space from both ends (SQL trim strips blanks only)."""
     return F.regexp_replace(col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")

@@ -1,0 +1,33 @@
+"""Registered queries: each operator over the driver's tables, with the DuckDB SQL of the same result where there is one."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function (spark, sf_dir) under its name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def every() -> tuple[dict, dict]:
+    from foliant.plans import graph, linking, profiling, relational, scalar
+
+    del graph, linking, profiling, relational, scalar
+    return QUERIES, ORACLES
