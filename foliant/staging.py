@@ -21,8 +21,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: While a table is staged, rows go to Python in batches of at most so many rows and bytes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write df once as Parquet and return its reader: cuts the lineage and survives lost executors."""
-    path = os.path.join(shared_dir(df.sparkSession), f"stage-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
+    before = {k: spark.conf.get(k) for k in BATCH}
+    try:
+        for k, v in BATCH.items():
+            spark.conf.set(k, v)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema(df.schema).parquet(path)
