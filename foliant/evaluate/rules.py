@@ -170,12 +170,11 @@ REGISTRY: dict[str, Callable[..., Column]] = {
 
 
 def summary(df: DataFrame, cases: Column) -> DataFrame:
-    """case, case_type, total_occurrences, percentage over all rows."""
-    rows = df.select(cases.alias("c"))
-    total = rows.agg(F.count("*").alias("total"))
-    counts = rows.select(F.inline("c")).groupBy("label", "kind").agg(F.count("*").alias("n"))
-    share = F.when(F.col("total") > 0, F.round(F.col("n") / F.col("total") * 100, 4)).otherwise(0.0)
-    return counts.crossJoin(F.broadcast(total)).select(F.col("label").alias("case"), F.col("kind").alias("case_type"), F.col("n").alias("total_occurrences"), share.alias("percentage"))
+    """case, case_type, total_occurrences, percentage over all rows; the number of rows reaches the driver."""
+    total = df.count()
+    counts = df.select(F.inline(cases)).groupBy("label", "kind").agg(F.count("*").alias("n"))
+    share = F.round(F.col("n") / F.lit(max(total, 1)) * 100, 4)
+    return counts.select(F.col("label").alias("case"), F.col("kind").alias("case_type"), F.col("n").alias("total_occurrences"), share.alias("percentage"))
 
 
 def by_value(df: DataFrame, value: str, cases: Column, kind: str) -> DataFrame:

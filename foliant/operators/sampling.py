@@ -43,7 +43,7 @@ def spaced_values(df: DataFrame, field: str, k: int) -> DataFrame:
     own = part.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy(F.lower("value"), "value")))
     sizes = part.groupBy("p").agg(F.count("*").alias("c"))
     before = sizes.withColumn("base", F.coalesce(F.sum("c").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = sizes.agg(F.sum("c").alias("total"))
-    ranked = own.join(before.select("p", "base"), "p").crossJoin(F.broadcast(total)).withColumn("i", F.col("base") + F.col("r") - 1)
-    picks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * F.col("total") / k))
-    return ranked.where((F.col("total") <= k) | F.array_contains(picks, F.col("i"))).select("value").orderBy(F.lower("value"), "value")
+    total = values.count()
+    ranked = own.join(before.select("p", "base"), "p").withColumn("i", F.col("base") + F.col("r") - 1)
+    chosen = ranked if total <= k else ranked.where(F.col("i").isin([i * total // k for i in range(k)]))
+    return chosen.select("value").orderBy(F.lower("value"), "value")

@@ -29,13 +29,12 @@ def appended(dimension: DataFrame, seen: DataFrame, key: str, order: str) -> Dat
     Numbers are made within range partitions and shifted by the counts before them.
     """
     new = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("_first")).join(dimension.select(key), key, "left_anti")
-    top = dimension.agg(F.coalesce(F.max("idx"), F.lit(0)).alias("_top"))
+    top = dimension.agg(F.max("idx")).first()[0] or 0
     part = new.repartitionByRange("_first", key).withColumn("_p", F.spark_partition_id())
     own = part.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_first", key)))
     sizes = part.groupBy("_p").agg(F.count("*").alias("_c"))
     base = sizes.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
-    j = own.join(base, "_p").crossJoin(F.broadcast(top))
-    return j.select(key, (F.col("_top") + F.col("_b") + F.col("_r")).cast("long").alias("idx"))
+    return own.join(base, "_p").select(key, (F.lit(top) + F.col("_b") + F.col("_r")).cast("long").alias("idx"))
 
 
 def distinct_actors(df: DataFrame, columns: list[str]) -> DataFrame:
