@@ -1,43 +1,25 @@
-"""Shared pieces of the training-data operators: staging, sizes and connected components."""
+"""Shared pieces of the training-data operators: process memory and connected components."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
 import sys
-import tempfile
-import uuid
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD = "[^\\x20\\x09-\\x0D]+"
+from foliant.staging import shared_dir, stage
 
+__all__ = ["components", "only", "process_memory", "shared_dir", "stage"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor can reach, from spark.checkpoint.dir.
-
-    Where the session names none (single-machine runs, tests) a folder of our own is set, and removed at exit.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="foliant-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
 
+BROADCAST_ROWS = 2_000_000
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write df once as Parquet into the shared folder and return the reader of it.
 
-    This cuts the lineage like checkpoint(), survives lost executors, and gives later plans a small columnar input.
-    """
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of df whose id is in ids (one long column of that name). The ids are counted first: up to BROADCAST_ROWS
+    (some 16 MB) they are broadcast and df isn't shuffled, beyond that both sides are."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, column, "left_semi")
 
 
 def process_memory(name: str) -> dict:
@@ -46,11 +28,6 @@ def process_memory(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
-def ascii_lower(c):
-    """Lower-case A-Z only; other letters keep their case."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge list by alternating large-star and small-star rounds.
 

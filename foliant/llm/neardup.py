@@ -3,12 +3,13 @@
 1. Every text becomes its set of distinct word shingles (64-bit hashes). Equal sets form classes first, so thousands
    of exact copies cost one signature.
 2. A class representative has BANDS x ROWS minimum hashes. Two sets of similarity 0.8 share no band with probability
-   (1 - 0.8^6)^40 = 5e-6, more similar ones far less; sets of similarity 0.1 share one with probability 4e-5.
+   (1 - 0.8^7)^52 = 5e-6, more similar ones far less; unrelated texts (0.07 here) share one with probability 4e-7.
 3. Candidates of a bucket are compared with a hub of that bucket, not with each other. Where a bucket still spans
-   several components, other hubs follow, and last every member outside the bucket's main component is compared with
-   all its members in blocks inside numpy, so no link is lost and no bucket is expanded into pairs of rows.
-4. A candidate pair's signatures are compared batch after batch; it is dropped as soon as the posterior probability
-   that its similarity reaches the threshold falls below MISS (uniform prior).
+   several components after HUB_ROUNDS hubs, the documents of the buckets that hang together form a family; every
+   member outside the family's main component meets all members in blocks inside numpy, so no link is lost and no
+   bucket is expanded into pairs of rows.
+4. Two signatures are compared batch after batch; a pair is dropped as soon as the posterior probability that its
+   similarity reaches the threshold falls below MISS (uniform prior).
 5. Survivors are verified on their full shingle sets.
 """
 
@@ -21,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import components, stage
+from foliant.llm.common import components, only, stage
 
-BANDS, ROWS = 40, 6
-MISS = 1e-7
-STEP = 40
-HUB_ROUNDS = 3
+BANDS, ROWS = 52, 7
+MISS = 1e-6
+STEP = 52
+HUB_ROUNDS = 2
 BLOCK = 128
+BLOCK_SHINGLES = 200_000
 TRACE = "doc_id long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>"
 
 
@@ -134,6 +136,11 @@ def traces(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> Dat
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TRACE)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """doc_id: everything that stands in a pair, once; staged, as it is counted and then joined."""
+    return stage(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+
+
 def _pruned(pairs: DataFrame, reps: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
     """Sequential comparison of both signatures; pairs a, b that may reach the threshold stay."""
     tests = least_matches(threshold, bands * rows, STEP, MISS)
@@ -149,6 +156,7 @@ def _pruned(pairs: DataFrame, reps: DataFrame, threshold: float, bands: int, row
                 alive, done = alive[agreed[alive] >= need], n
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in ("a", "b")], ["a", "b"])
 
+    reps = only(reps, _ends(pairs), "doc_id").dropDuplicates(["doc_id"])
     left = reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na"))
     right = reps.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -184,36 +192,88 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _blocks(active: DataFrame, reps: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
-    """Each member outside its bucket's main component against all members, in blocks; pairs that may reach the threshold."""
-    tests = least_matches(threshold, bands * rows, STEP, MISS)
-    per = active.groupBy("key", "label").agg(F.count("*").alias("c"))
-    main = per.groupBy("key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.sum("c").alias("size"))
-    rows_ = active.join(main, "key").join(reps.select("doc_id", "sig", "n_shingles"), "doc_id")
-    rows_ = stage(rows_.select("key", "doc_id", "label", "main", "sig", "n_shingles", (F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))).alias("block")))
-    wall = rows_.groupBy("key", "block").agg(F.collect_list(F.struct("doc_id", "label", "sig", "n_shingles")).alias("members"))
-    asked = rows_.where("label != main").select("key", "doc_id", "label", "sig", "n_shingles")
+def _families(active: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Verified links a, b between documents of different labels, each outside member of a family against all members."""
+    tests = least_matches(percent / 100, bands * rows, STEP, MISS)
+    threshold = percent / 100
+    firsts = active.groupBy("key").agg(F.min("doc_id").alias("b"))
+    together = components(active.select("key", F.col("doc_id").alias("a")).join(firsts, "key").select("a", "b"))
+    members = stage(
+        active.select("doc_id", "label").distinct().join(together.select(F.col("node").alias("doc_id"), F.col("label").alias("family")), "doc_id")
+    )
+    per = members.groupBy("family", "label").agg(F.count("*").alias("c"))
+    main = per.groupBy("family").agg(F.max(F.struct("c", "label"))["label"].alias("main"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = shingler(k)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                made = [sets(t.as_py()).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    ids = stage(members.select("doc_id").distinct())
+    wanted = only(texts, ids, "doc_id").dropDuplicates(["doc_id"])
+    reps = stage(only(reps, ids, "doc_id").dropDuplicates(["doc_id"]))
+    full = members.join(main, "family").join(reps.select("doc_id", "sig", "n_shingles"), "doc_id")
+    full = full.join(wanted.select("doc_id", "text").mapInArrow(read, "doc_id long, shingles array<long>"), "doc_id")
+    sizes = members.join(reps.select("doc_id", "n_shingles"), "doc_id").groupBy("family").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
+    )
+    full = stage(full.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
+    item = F.struct("doc_id", "label", "sig", "n_shingles", "shingles")
+    walls = stage(full.groupBy("family", "block").agg(F.collect_list(item).alias("members")))
+    asked = stage(full.where("label != main").groupBy("family", "block").agg(F.collect_list(item).alias("asked")).select("family", "asked"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for doc, label, sig, n, members in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "sig", "n_shingles", "members")), strict=True):
-                others = [m for m in members if m["label"] != label and threshold * max(n, m["n_shingles"]) - 1e-9 <= min(n, m["n_shingles"])]
-                if not others:
-                    continue
-                x = np.frombuffer(sig, np.uint8)
-                y = np.frombuffer(b"".join(m["sig"] for m in others), np.uint8).reshape(len(others), -1)
-                alive, agreed, done = np.arange(len(others)), np.zeros(len(others), dtype=np.int64), 0
-                for upto, need in tests:
-                    agreed[alive] += (x[done:upto] == y[alive, done:upto]).sum(axis=1)
-                    alive, done = alive[agreed[alive] >= need], upto
-                for i in alive:
-                    a.append(min(doc, others[i]["doc_id"]))
-                    b.append(max(doc, others[i]["doc_id"]))
+            for mine, wall in zip(batch.column(0), batch.column(1), strict=True):
+                xs, ys = mine.values, wall.values
+                sig = np.frombuffer(b"".join(ys.field("sig").to_pylist()), np.uint8).reshape(len(ys), -1)
+                size, label = ys.field("n_shingles").to_numpy(), ys.field("label").to_numpy()
+                ids, held = ys.field("doc_id").to_numpy(), ys.field("shingles")
+                for i in range(len(xs)):
+                    x = xs[i]
+                    n, own = x["n_shingles"].as_py(), np.frombuffer(x["sig"].as_py(), np.uint8)
+                    fits = (label != x["label"].as_py()) & (np.minimum(size, n) >= threshold * np.maximum(size, n) - 1e-9)
+                    alive, done = np.flatnonzero(fits), 0
+                    agreed = np.zeros(len(ys), dtype=np.int64)
+                    for upto, need in tests:
+                        if not alive.size:
+                            break
+                        agreed[alive] += (own[done:upto] == sig[alive, done:upto]).sum(axis=1)
+                        alive, done = alive[agreed[alive] >= need], upto
+                    if not alive.size:
+                        continue
+                    mine_set = np.sort(x["shingles"].values.to_numpy())
+                    theirs = held.take(pa.array(alive))
+                    flat, counts = theirs.values.to_numpy(), size[alive]
+                    at = np.minimum(np.searchsorted(mine_set, flat), len(mine_set) - 1)
+                    both = np.add.reduceat((mine_set[at] == flat).astype(np.int64), np.cumsum(counts) - counts)
+                    for j in alive[100 * both >= percent * (n + counts - both)]:
+                        a.append(x["doc_id"].as_py())
+                        b.append(int(ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    joined = asked.join(wall, "key")
-    return joined.select("doc_id", "label", "sig", "n_shingles", "members").mapInArrow(run, "a long, b long").distinct()
+    return asked.join(walls, "family").select("asked", "members").mapInArrow(compare, "a long, b long")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows with the label of doc_id; a document without links is its own label."""
+    found = labels.select(F.col("node").alias("doc_id"), F.col("label"))
+    return rows.join(found, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+
+
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after further links: the components of the graph of labels carry over to the documents."""
+    a = _labelled(found.select(F.col("a").alias("doc_id"), "b"), labels).select(F.col("label").alias("a"), F.col("b").alias("doc_id"))
+    joined = components(_labelled(a, labels).select("a", F.col("label").alias("b")))
+    ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    alone = ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
+    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    every = labels.unionByName(alone.select("node", "label"))
+    return stage(every.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -229,39 +289,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     all_rows = stage(traces(docs, k, bands, rows))
     named = all_rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = stage(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")))
-    reps = stage(
-        named.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "n_shingles", "sig", "bands")
-    )
+    firsts = classes.select(F.col("rep").alias("doc_id"))
+    reps = named.select("doc_id", "n_shingles", "sig")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
-    active = reps.select(F.explode("bands").alias("key"), "doc_id").distinct()
-    active = active.withColumn("label", F.col("doc_id"))
-    labels, links = None, None
+    # One shuffle by band key serves the count and the join back to it.
+    active = only(named.select("doc_id", "bands"), firsts, "doc_id").select(F.explode("bands").alias("key"), "doc_id")
+    active = active.repartition("key").withColumn("label", F.col("doc_id"))
+    labels = None
     for turn in range(HUB_ROUNDS + 1):
         if turn < HUB_ROUNDS:
-            order = F.struct((F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))).alias("o"), "doc_id", "label")
-            hubs = active.groupBy("key").agg(F.min(order).alias("hub"), F.count("*").alias("c"))
-            hubs = hubs.where("c > 1").select("key", F.col("hub.doc_id").alias("hub"), F.col("hub.label").alias("hub_label"))
+            if turn == 0:
+                hubs = active.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
+                hubs = hubs.select("key", "hub", F.col("hub").alias("hub_label"))
+            else:
+                order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("o"), "doc_id", "label")
+                hubs = active.groupBy("key").agg(F.min(order).alias("hub"))
+                hubs = hubs.select("key", F.col("hub.doc_id").alias("hub"), F.col("hub.label").alias("hub_label"))
             active = stage(active.join(hubs, "key").where("doc_id != hub"))
             pairs = active.where("label != hub_label").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-            maybe = _pruned(pairs, reps, threshold, bands, rows)
+            maybe = stage(_pruned(stage(pairs), reps, threshold, bands, rows))
+            found = stage(_verified(maybe, only(texts, _ends(maybe), "doc_id").dropDuplicates(["doc_id"]), k, percent))
         else:
-            maybe = _blocks(active, reps, threshold, bands, rows)
-        maybe = stage(maybe)
-        near = texts.join(maybe.select(F.col("a").alias("doc_id")).unionByName(maybe.select(F.col("b").alias("doc_id"))).distinct(), "doc_id", "left_semi")
-        found = stage(_verified(maybe, stage(near.dropDuplicates(["doc_id"])), k, percent))
-        links = found if links is None else links.unionByName(found)
-        if turn == 0 or not found.isEmpty():
-            labels = components(links)
+            found = stage(_families(active, reps, texts, k, percent, bands, rows))
+        if labels is None:
+            labels = components(found)
+        elif not found.isEmpty():
+            labels = _merged(labels, found)
         if turn == HUB_ROUNDS:
             break
-        active = (
-            active.select("key", "doc_id")
-            .join(labels, F.col("doc_id") == F.col("node"), "left")
-            .select("key", "doc_id", F.coalesce("label", "doc_id").alias("label"))
-        )
+        active = _labelled(active.select("key", "doc_id"), labels)
         open_ = active.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         active = stage(active.join(open_, "key", "left_semi"))
         if active.isEmpty():
