@@ -130,3 +130,24 @@ def name_cascade(name: Column | str, first: Column | str, last: Column | str) ->
     )
     confidence = F.when(kind.isin("alias_split", "stripped_title_role"), "medium").when(kind.rlike("unresolved"), "low").otherwise("high")
     return {"harmonised": text, "correction_type": kind, "confidence": confidence}
+
+
+#: Words that catalogues put where a name belongs.
+NO_NAMES = ("anonyme", "anonymous", "anonymus", "inconnu", "unknown", "collectif", "auteur", "editeur", "societe", "academie", "eglise", "ville", "france")
+
+
+def plausible_name(c: Column | str) -> Column:
+    """Whether a text can be a person's name: letters, no digits, 2 to 60 characters, not a stand-in. A coarse reading
+    without a name parser: order and parts aren't judged."""
+    c = F.trim(col(c))
+    return F.coalesce(c.rlike(r"\p{L}") & ~c.rlike(r"\d") & F.length(c).between(2, 60) & ~F.lower(c).isin(*NO_NAMES), F.lit(False))
+
+
+def name_category(column: str) -> str | None:
+    """What a column's title says it holds: first, last or name; None for other columns."""
+    low = column.lower()
+    if "first" in low or "prenom" in low or "given" in low:
+        return "first"
+    if "last" in low or "family" in low or "surname" in low:
+        return "last"
+    return "name" if "name" in low or "nom" in low else None

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliant.evaluate import rules
+from foliant.functions.names import plausible_name
 from foliant.functions.text import folded, group_name, token_set
-from foliant.link import actors, authorities, editions
+from foliant.link import actors, authorities, editions, tables
 from foliant.operators.dedup import same_persons
 from foliant.plans import query, table
 from foliant.plans.scalar import q_dates_edtf, q_link_norm, q_place_lookup, q_publisher_classify
@@ -201,3 +202,39 @@ def q_evaluate_names(spark, sf_dir):
     k = F.col("c_custkey") % 4
     d = table(spark, sf_dir, "customer").select(F.when(k == 0, F.lit("")).when(k == 1, "Ann alias Bob and Co").when(k == 2, F.col("c_name")).otherwise("Veuve Martin").alias("n"))
     return rules.summary(d, rules.person_name("n"))
+
+
+@query("""
+WITH a AS (SELECT l_orderkey, l_suppkey, min(l_linenumber) AS at_line FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY ALL),
+g AS (SELECT l_orderkey, string_agg(l_suppkey::VARCHAR, ',' ORDER BY at_line, l_suppkey::VARCHAR) AS ids, count(DISTINCT s_name) AS n FROM a JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey)
+SELECT o_orderkey AS estc_id, coalesce(ids, '') AS ids, coalesce(n, 0) AS n FROM orders LEFT JOIN g ON o_orderkey = l_orderkey
+""")
+def q_foreign_authors(spark, sf_dir):
+    core = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("estc_id"))
+    links = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("estc_id"), F.col("l_suppkey").cast("string").alias("actor_id"), F.when(F.col("l_linenumber") % 2 == 0, "TRUE").otherwise("FALSE").alias("is_author"), F.col("l_linenumber").alias("_row_id"))
+    people = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("actor_id"), F.col("s_name").alias("name"))
+    d = tables.with_authors(core, links, people)
+    return d.select("estc_id", F.array_join("author_ids", ",").alias("ids"), F.size("authors").cast("long").alias("n"))
+
+
+@query("""
+SELECT o_orderkey AS edition, 'http://a/' || o_custkey::VARCHAR AS iri, CASE WHEN o_custkey % 3 = 0 THEN c_name WHEN o_custkey % 3 = 1 THEN 'Ann Lee' END AS name FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL SELECT o_orderkey, '', o_orderpriority FROM orders WHERE o_orderkey % 5 = 0
+""")
+def q_edition_authors(spark, sf_dir):
+    k, iri = F.col("c_custkey"), lambda c: F.concat(F.lit("<http://a/"), F.col(c).cast("string"), F.lit(">"))
+    people = table(spark, sf_dir, "customer").select(iri("c_custkey").alias("actor"), F.when(k % 3 == 0, F.col("c_name")).alias("actor_name"), F.when(k % 3 == 1, "Ann").alias("actor_first_name"), F.when(k % 3 == 1, "Lee").alias("actor_last_name"), k.alias("_row_id"))
+    books = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("edition"), iri("o_custkey").alias("author"), F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")).alias("author_name"))
+    return tables.edition_authors(books, tables.display_names(people))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders")
+def q_canonical_remap(spark, sf_dir):
+    m = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("actor"), (F.col("c_custkey") + 1).alias("canonical_actor"))
+    return tables.canonical(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", m)
+
+
+@query("SELECT c_custkey, c_custkey % 3 = 1 AS plausible FROM customer")
+def q_plausible_names(spark, sf_dir):
+    k = F.col("c_custkey") % 3
+    return table(spark, sf_dir, "customer").select("c_custkey", plausible_name(F.when(k == 0, F.col("c_name")).when(k == 1, "Ann Lee").otherwise("Anonymous")).alias("plausible"))
