@@ -124,7 +124,7 @@ class Reader:
         cut = [tokens(t) for t in texts]
         if len(self.place) > 600_000:
             self._clear()
-        fresh = list(set().union(*cut) - self.place.keys()) if cut else []
+        fresh = [w for w in set().union(*cut) if w not in self.place]
         if fresh:
             h = np.fromiter((xxhash.xxh64_intdigest(w) for w in fresh), np.uint64, len(fresh)).view(np.int64)
             cls, n = self.v.classes(h, np.fromiter((bucket_of(w) for w in fresh), np.int32, len(fresh)))

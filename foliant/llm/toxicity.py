@@ -149,7 +149,7 @@ class Model:
 
 def pooled(kernel: Kernel, texts: list[set[str]], known: dict[str, np.ndarray | None]) -> np.ndarray:
     """For each document the largest kernel value per landmark. known remembers words (None: below LEAST)."""
-    fresh = sorted(set().union(*texts) - known.keys()) if texts else []
+    fresh = [w for w in set().union(*texts) if w not in known]
     known.update(dict.fromkeys(fresh))
     known.update(kernel.values(fresh))
     x = np.zeros((len(texts), len(kernel.landmarks)), dtype=np.float32)
