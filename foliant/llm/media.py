@@ -160,18 +160,22 @@ class Bits:
         return v if size == 0 or v >> (size - 1) else v - (1 << size) + 1
 
 
-def _dc_scan(bits: Bits, parts: list, grid: tuple[int, int], high: int, low: int) -> None:
-    """DC of one or more components, in unit order when several."""
+def _dc_places(c: Component, together: bool, grid: tuple[int, int]) -> np.ndarray:
+    """Blocks of a component in the order of a DC scan, a row per unit (alone: per block)."""
+    if not together:
+        return np.arange(c.high * c.wide).reshape(-1, 1)
+    first = (np.arange(grid[0]) * (c.down * c.wide))[:, None] + np.arange(grid[1]) * c.across
+    return first.reshape(-1, 1) + [i * c.wide + j for i in range(c.down) for j in range(c.across)]
+
+
+def _dc_scan(bits: Bits, parts: list, grid: tuple[int, int], high: int, low: int, memory: dict) -> None:
+    """DC of one or more components, in unit order when several. memory keeps the orders of one picture."""
+    together = len(parts) > 1
     order = []
-    for c, codes, _ in parts:
-        if len(parts) == 1:
-            places = np.arange(c.high * c.wide).reshape(-1, 1)
-        else:
-            r, k = np.meshgrid(np.arange(grid[0]), np.arange(grid[1]), indexing="ij")
-            places = np.stack(
-                [(r * c.down + i) * c.wide + k * c.across + j for i in range(c.down) for j in range(c.across)], axis=-1
-            ).reshape(grid[0] * grid[1], -1)
-        order.append(places)
+    for c, _, _ in parts:
+        if (c.number, together) not in memory:
+            memory[c.number, together] = _dc_places(c, together, grid)
+        order.append(memory[c.number, together])
     width = sum(p.shape[1] for p in order)
     n = len(order[0]) * width
     if high:
@@ -312,7 +316,7 @@ def decode(data: bytes) -> Picture:
     """Read a progressive JPEG (Huffman, 8 bits, no restart intervals) into coefficient arrays."""
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG")
-    at, quant, codes, pic = 2, {}, {}, None
+    at, quant, codes, pic, memory = 2, {}, {}, None, {}
     note = b""
     while True:
         marker, size = data[at + 1], 0
@@ -359,7 +363,7 @@ def decode(data: bytes) -> Picture:
             by = {c.number: c for c in pic.parts}
             chosen = [(by[body[1 + 2 * i]], codes.get((0, body[2 + 2 * i] >> 4), {}), codes.get((1, body[2 + 2 * i] & 15), {})) for i in range(n)]
             if first == 0:
-                _dc_scan(bits, chosen, grid, high, low)
+                _dc_scan(bits, chosen, grid, high, low, memory)
             elif high:
                 _ac_refine(bits, chosen[0][0], chosen[0][2], first, last, low)
             else:
