@@ -266,6 +266,22 @@ class Scorer:
         return (self.a1[c1, w].astype(np.float64) + self.a2[c2, w] - self.z[pair]) / np.log(10)
 
 
+def _most_frequent(counts: DataFrame, most: int):
+    """The most frequent words, at most `most` rows, by n and hash: all words from a count level on.
+
+    Levels are sixteenths of powers of two, a thousand at most, so neither the histogram nor the words outgrow the driver.
+    """
+    level = F.floor(F.log2("n") * 16).cast("int")
+    sizes = sorted(((r["level"], r["c"]) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("c")).collect()), reverse=True)
+    least, have = None, 0
+    for at, c in sizes:
+        if have + c > most:
+            break
+        least, have = at, have + c
+    rows = counts.where(F.lit(False) if least is None else level >= least).select("h", "bucket", "n").toPandas()
+    return rows.sort_values(["n", "h"], ascending=[False, True])
+
+
 def scores(docs: DataFrame, held_out) -> DataFrame:
     """Score every text of docs, learning from the rows where held_out is not true.
 
@@ -281,7 +297,7 @@ def scores(docs: DataFrame, held_out) -> DataFrame:
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_texts = train.count()
     n_tokens, n_types = int(total["n"] or 0) + n_texts, int(total["v"]) + (1 if n_texts else 0)
-    top = counts.orderBy(F.desc("n"), "h").limit(KNOWN).toPandas()
+    top = _most_frequent(counts, KNOWN)
     by_bucket = counts.groupBy("bucket").agg(F.sum(F.col("n") + 0.5).alias("mass")).toPandas()
     buckets = np.zeros(BUCKETS)
     buckets[by_bucket["bucket"].to_numpy(dtype=np.int64)] = by_bucket["mass"].to_numpy(dtype=np.float64)
