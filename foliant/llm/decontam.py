@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import stage
+from foliant.llm.common import only, stage, without
 
 WINDOW = 5
 CONTAINMENT = 0.5
@@ -37,9 +37,11 @@ def template(raw, at: int | None = None):
     def one(w, i):
         bare = F.btrim(w, F.lit(TRIM))
         before = F.try_element_at(raw, F.greatest(i, F.lit(1)))
-        inside = (i > 0) & ~F.substring(before, -1, 1).isin(".", "!", "?", ":")
-        number = bare.rlike("^[0-9]")
-        after_number = (i > 0) & before.rlike("[0-9][0-9.,]*$")
+        end = F.substring(before, -1, 1)
+        inside = (i > 0) & ~end.isin(".", "!", "?", ":")
+        number = F.substring(bare, 1, 1).between("0", "9")
+        # The last sign rules most words out before the pattern is tried.
+        after_number = (i > 0) & (end.between("0", "9") | end.isin(".", ",")) & before.rlike("[0-9][0-9.,]*$")
         lower = F.lower(bare)
         first, rest = F.substring(bare, 1, 1), F.substring(bare, 2, 1_000_000_000)
         name = inside & (F.length(bare) > 1) & (first != F.lower(first)) & (rest == F.lower(rest))
@@ -87,7 +89,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containme
     enough = stage(enough.where(F.col("n") >= containment * F.col("windows")).select("doc_id", "item_id", "windows"))
 
     # Slot check, on candidate documents only: raw words of both sides at the placeholders of matching windows.
-    some = d.join(enough.select("doc_id").distinct(), "doc_id", "left_semi")
+    some = only(d, stage(enough.select("doc_id").distinct()), "doc_id")
     raws = some.select("doc_id", _tokens(F.col("text")).alias("draw"))
     near = pairs.join(enough, ["doc_id", "item_id"]).select("doc_id", "item_id", "windows", "key", "ipos", "dpos", (F.col("dpos") - F.col("ipos")).alias("shift"))
     near = near.join(seeds.select("item_id", "ipos", "raw", "words").distinct(), ["item_id", "ipos"]).join(raws, "doc_id")
@@ -115,8 +117,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containme
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containment: float = CONTAINMENT) -> DataFrame:
     """docs without the rows that hold a benchmark item; all columns are kept as they are."""
-    found = leaks(docs, benchmark, window, containment).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long") == found["_leaked"], "left_anti")
+    return without(docs, leaks(docs, benchmark, window, containment), "doc_id")
 
 
 def best_leak(found: DataFrame) -> DataFrame:
