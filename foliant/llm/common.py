@@ -10,7 +10,27 @@ from pyspark.sql import functions as F
 
 from foliant.staging import shared_dir, stage
 
-__all__ = ["components", "only", "process_memory", "shared_dir", "stage"]
+__all__ = ["components", "forget", "only", "process_memory", "shared_dir", "stage", "tidy", "without"]
+
+
+def forget() -> None:
+    """Drop what earlier tasks of this worker process remembered; operators without such a memory begin with this."""
+    home = sys.modules.get("_foliant_process_memory")
+    if home is not None:
+        for value in [v for v in vars(home).values() if isinstance(v, dict)]:
+            value.clear()
+        tidy()
+
+
+def tidy() -> None:
+    """Give freed memory back to the system at the end of a task, since the worker process lives on."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 BROADCAST_ROWS = 2_000_000
@@ -22,6 +42,13 @@ def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, column, "left_semi")
 
 
+def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of df whose id isn't in ids (one long column of that name), null ids included; ids are staged and counted as in only()."""
+    gone = stage(ids.select(F.col(column).alias("_gone")).distinct())
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return df.join(side, df[column].cast("long") == F.col("_gone"), "left_anti")
+
+
 def process_memory(name: str) -> dict:
     """A dictionary that lasts as long as the worker process, so that later tasks find what earlier ones looked up."""
     home = sys.modules.setdefault("_foliant_process_memory", ModuleType("_foliant_process_memory"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import components, only, stage
+from foliant.llm.common import components, forget, only, stage, tidy, without
 
 BANDS, ROWS = 52, 7
 MISS = 1e-6
@@ -109,6 +109,7 @@ def traces(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        forget()
         sets, mult = shingler(k), multipliers(bands * rows)
         salt = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         step = np.uint64(0xD6E8FEB86659FD93)
@@ -132,6 +133,7 @@ def traces(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> Dat
                  pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "h1", "h2", "sig", "bands"],
             )
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TRACE)
 
@@ -186,6 +188,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             take = pa.array(np.flatnonzero(ok), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("a", "b")], ["a", "b"])
+        kept.clear()
+        tidy()
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
@@ -335,5 +339,4 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs without the rows that a near duplicate of smaller doc_id stands for; all columns are kept as they are."""
-    found = near_duplicates(docs, k, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
+    return without(docs, near_duplicates(docs, k, percent).where("NOT kept"), "doc_id")

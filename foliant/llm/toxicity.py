@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm.common import forget, tidy
+
 TRAIN_PER_CLASS = 800
 TRAIN_CHARS = 12_000
 LANDMARKS = 64
@@ -98,14 +100,20 @@ class Kernel:
 
     def __post_init__(self) -> None:
         m = len(self.landmarks)
-        self.own = np.zeros((CODES**3, m), dtype=np.float32)
         code, owner = _codes(self.landmarks)
-        for feature, weight in _features(code):
-            np.add.at(self.own, (feature, np.broadcast_to(owner[:, None], feature.shape)), weight)
+        shapes = list(_features(code))
+        used = np.unique(np.concatenate([f.ravel() for f, _ in shapes])) if shapes else np.zeros(1, dtype=np.int64)
+        used = used[used > 0]
+        # Rows for the landmarks' features only; number 0 stands for all others.
+        self.row = np.zeros(CODES**3, dtype=np.int32)
+        self.row[used] = np.arange(1, len(used) + 1)
+        self.own = np.zeros((len(used) + 1, m), dtype=np.float32)
+        for feature, weight in shapes:
+            np.add.at(self.own, (self.row[feature], np.broadcast_to(owner[:, None], feature.shape)), weight)
         self.own[0] = 0
         self.gram = self.own.T @ self.own
         self.own /= np.maximum(np.diag(self.gram), 1e-9)
-        self.top = self.own.max(axis=1)
+        self.top = self.own.max(axis=1)[self.row]
 
     def values(self, words: list[str]) -> dict[str, np.ndarray]:
         """Vectors of those words that reach LEAST for some landmark."""
@@ -126,7 +134,7 @@ class Kernel:
                 v = np.zeros((len(rows), len(self.landmarks)), dtype=np.float32)
                 for f, weight in shapes:
                     for column in f[rows].T:
-                        v += weight * self.own[column]
+                        v += weight * self.own[self.row[column]]
                 for i, r in enumerate(rows):
                     if v[i].max() >= LEAST:
                         w = part[owner[r]][0]
@@ -168,19 +176,30 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int) ->
     """
     seen = {p for words in clean for w in words if (p := plain(w))}
 
-    def parts(w: str) -> set[str]:
-        return {w[i : i + n] for n in range(4, 13) for i in range(len(w) - n + 1)} if len(w) <= 40 else set()
-
-    rows = [set().union(*(parts(p) for w in words if (p := plain(w)) not in seen), set()) for words in toxic]
-    df = Counter(x for r in rows for x in r)
+    def parts(w: str, common: set[str] | None) -> set[str]:
+        """Strings of a word: those of four letters, or longer ones too whose ends are common ones of four."""
+        if len(w) > 40:
+            return set()
+        fours = [w[i : i + 4] for i in range(len(w) - 3)]
+        if common is None:
+            return set(fours)
+        at = [i for i, x in enumerate(fours) if x in common]
+        return {w[i : j + 4] for i in at for j in at if i <= j <= i + 8}
+
+    def row(words: set[str], common: set[str] | None) -> set[str]:
+        return set().union(*(parts(p, common) for w in words if (p := plain(w)) not in seen), set())
+
+    common = {x for x, n in Counter(x for words in toxic for x in row(words, None)).items() if n >= 3}
+    df = Counter(x for words in toxic for x in row(words, common))
     good = {x for x, n in df.items() if n >= 3}
+    df = {x: df[x] for x in good}
     against = Counter()
     for words in clean:
-        against.update(set().union(*(parts(plain(w)) & good for w in words), set()))
+        against.update(set().union(*(parts(plain(w), common) & good for w in words), set()))
     good = {x for x in good if df[x] >= 12 * against[x]}
     where: dict[str, set[int]] = {}
-    for i, r in enumerate(rows):
-        for x in r & good:
+    for i, words in enumerate(toxic):
+        for x in row(words, common) & good:
             where.setdefault(x, set()).add(i)
 
     def signal(x: str) -> float:
@@ -281,7 +300,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS)
         mine = [r["text"] for r in found if r["toxic"] == kind][:per_class]
         texts += mine
         given += [kind] * len(mine)
-    return fit(texts, given)
+    model = fit(texts, given)
+    del found, texts
+    tidy()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -294,6 +316,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     fields = (model.landmarks, model.weights, model.bias, model.slope, model.shift)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         m = Model(*fields)
         kernel = Kernel(m.landmarks)
         known: dict[str, np.ndarray | None] = {}
@@ -301,12 +324,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text"))
             s = np.empty(batch.num_rows)
             for at in range(0, batch.num_rows, 500):
-                if len(known) > 600_000:
+                if len(known) > 250_000:
                     known.clear()
                 s[at : at + 500] = m.scores(pooled(kernel, [words_of(t.as_py()) for t in texts[at : at + 500]], known))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"]
             )
+        known.clear()
+        tidy()
 
     return docs.select(*own).mapInArrow(run, schema)
 
