@@ -9,7 +9,9 @@ Executors then number the pieces of each length and read sequence and offset fro
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -18,44 +20,81 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import stage
+from foliant.llm.common import process_memory, stage, tidy
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
+TEXTS = 800
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, ord long"
 
 
-def word_encoder(path: str):
-    """A function from text to token ids as little-endian 32-bit bytes, equal to encoding the whole text.
+def encoder(path: str):
+    """A function from a text to its token ids as little-endian 32-bit bytes, equal to encoding the whole text.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are the ids of its words in turn;
-    words are encoded once and remembered (at most CACHED_WORDS of them, then the memory is emptied).
+    The tokenizer drops white space and never joins across it, nor letters with what isn't a letter. So a text's ids
+    are the ids of its words in turn, and a Latin word that ends in a comma or full stop has the ids of its lower-cased
+    letters, then those of the sign; letters go to the merges directly, other words through the whole tokenizer. Words
+    and letter runs are remembered for the life of the worker process; runs not asked for since the memory was last
+    full are forgotten.
     """
+    memory = process_memory(f"word ids {path}")
+    if memory:
+        return memory["encode"]
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
+    merges = tok.model.tokenize
     odd = re.compile("[\x1c-\x1f]")
     spaces = re.compile("[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-    known: dict[str, bytes] = {}
+    latin = re.compile("[A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff]+").fullmatch
+    as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+    mapped = str.maketrans({chr(c): as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)})
+    runs: dict[str, bytes] = {}
+    before: dict[str, bytes] = {}
+    signs = {s: _packed(tok.encode(s, add_special_tokens=False).ids) for s in ".,"}
+
+    class Words(dict):
+        def __missing__(self, word: str) -> bytes:
+            if word.isalpha():
+                letters, sign = word, b""
+            else:
+                letters, sign = word[:-1], signs.get(word[-1])
+            if sign is None or not letters.isalpha() or not (letters.isascii() or latin(letters)):
+                value = _packed(tok.encode(word, add_special_tokens=False).ids)
+            else:
+                low = letters.lower()
+                if (value := runs.get(low)) is None:
+                    if (value := before.get(low)) is None:
+                        value = _packed([t.id for t in merges(low if low.isascii() else low.translate(mapped))])
+                    runs[low] = value
+                value += sign
+            self[word] = value
+            return value
+
+    known = Words()
+    ids_of = known.__getitem__
 
     def encode(text: str) -> bytes:
-        words = spaces.split(text) if odd.search(text) else text.split()
-        fresh = [w for w in set(words) if w not in known]
-        if fresh:
-            if len(known) + len(fresh) > CACHED_WORDS:
-                known.clear()
-                fresh = list(set(words))
-            for at in range(0, len(fresh), 4096):
-                part = fresh[at : at + 4096]
-                for w, e in zip(part, tok.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in words])
-
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        if len(runs) > CACHED_WORDS:
+            before.clear()
+            before.update(runs)
+            runs.clear()
+        return b"".join(map(ids_of, [w for w in spaces.split(text) if w] if odd.search(text) else text.split()))
+
+    memory["encode"] = encode
     return encode
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Tokenise doc_id, text and cut only what is longer than capacity. Null texts count as empty.
 
@@ -67,20 +106,22 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, encode = TaskContext.get().partitionId(), word_encoder(tokenizer)
+        task, encode = TaskContext.get().partitionId(), encoder(tokenizer)
         count = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
-                for k in range(0, len(ids), size):
-                    part = ids[k : k + size]
-                    n = len(part) // 4
-                    rows.append((doc_id, k // size, k // 4, n, zlib.crc32(part), task, int(count[n])))
-                    count[n] += 1
+            for at in range(0, batch.num_rows, TEXTS):
+                for doc_id, text in zip(*(batch.column(c).slice(at, TEXTS).to_pylist() for c in (0, 1)), strict=True):
+                    ids = encode(text or "") + end
+                    for k in range(0, len(ids), size):
+                        part = ids[k : k + size]
+                        n = len(part) // 4
+                        rows.append((doc_id, k // size, k // 4, n, zlib.crc32(part), task, int(count[n])))
+                        count[n] += 1
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
             columns = zip(*rows, strict=True) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        tidy()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 

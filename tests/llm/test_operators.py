@@ -30,7 +30,7 @@ def corpus(seed: int = 5) -> list[tuple]:
             texts.append(" ".join(w))
     passage = prose(60)
     texts += [f"{prose(30)}\n{passage}\n{prose(20)}" for _ in range(4)]
-    texts += [base[0], base[0], "", None, " \n\t", "one", "one", "One", prose(6000), "É à\x0bü ß ½ 👍 " * 4]
+    texts += [base[0], base[0], "", None, " \n\t", "one", "one", "One", prose(6000), " \x1c lead\x1fing ", "É à\x0bü ß ½ 👍 " * 4]
     return [(i, t, f"s{i % 3}", "x", "y") for i, t in enumerate(texts)] + [(None, base[0], None, "x", "y"), (3, base[3], "s0", "x", "y")]
 
 
