@@ -24,7 +24,7 @@ from foliant.llm.common import process_memory, stage, tidy
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 250_000
+CACHED_WORDS = 160_000
 TEXTS = 800
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, ord long"
 
