@@ -315,6 +315,18 @@ def test_repeated_passages(docs, empty, rows):
     assert repeated_passages(empty).count() == 0
 
 
+def test_passages_around_differing_text(spark):
+    from foliant.llm.substring import repeated_passages
+
+    rng = random.Random(7)
+    text = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = text(60), text(60)
+    d = [(1, text(30) + p + text(100) + q + text(30)), (2, text(5) + p + text(100) + q), (3, text(9) + q + text(400) + p)]
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in d], "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["start"], r["end"], r["other_id"], r["other_start"], r["other_end"], r["matched"]) for r in got}
+    assert found == {(2, 5, 65, 1, 30, 90, 60), (2, 165, 225, 1, 190, 250, 60), (3, 9, 69, 1, 190, 250, 60), (3, 469, 529, 1, 30, 90, 60)}
+
+
 def test_chains_against_all_subsets():
     from foliant.llm.substring import _common, chains
 
