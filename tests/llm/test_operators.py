@@ -327,6 +327,19 @@ def test_passages_around_differing_text(spark):
     assert found == {(2, 5, 65, 1, 30, 90, 60), (2, 165, 225, 1, 190, 250, 60), (3, 9, 69, 1, 190, 250, 60), (3, 469, 529, 1, 30, 90, 60)}
 
 
+def test_passages_whose_seeds_begin_elsewhere(spark):
+    from foliant.llm.substring import repeated_passages
+
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = text(60), text(60)
+    d = [(1, p[:40] + text(20)), (2, text(20) + p[24:]), (3, text(7) + p + text(9)), (4, text(30) + p), (5, text(10) + p[:40] + text(5)), (6, text(3) + p[24:]), (7, p)]
+    d += [(11, q), (12, q + text(30) + q)]
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in d], "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["start"], r["end"], r["other_id"], r["other_start"], r["other_end"], r["matched"]) for r in got}
+    assert found == {(4, 30, 90, 3, 7, 67, 60), (7, 0, 60, 3, 7, 67, 60), (12, 0, 60, 11, 0, 60, 60), (12, 90, 150, 11, 0, 60, 60)}
+
+
 def test_chains_against_all_subsets():
     from foliant.llm.substring import _common, chains
 
