@@ -130,8 +130,16 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     """Patterns (lengths in order, times) that use up the counts, each within capacity.
 
     counts maps length to number of pieces. Every round uses up at least one length as far as its pattern needs it,
-    so the number of patterns depends on the number of distinct lengths and not on the number of pieces.
+    so the number of patterns depends on the number of distinct lengths and not on the number of pieces. Two plans are
+    made: one tries every available length as first of three, the other only the 64 largest and leaves more gaps to
+    best fit; neither is always better, so the one with fewer sequences is returned.
     """
+    plans = [_plan(counts, capacity, tried) for tried in (capacity, 64)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, tried: int) -> list[tuple[list[int], int]]:
+    """tried: how many lengths, largest first, are tried as first of three."""
     have = np.zeros(capacity + 1, dtype=np.int64)
     for n, c in counts.items():
         if not 1 <= n <= capacity:
@@ -161,7 +169,12 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
         lengths = np.flatnonzero(have[:gap])[::-1]
         if lengths.size == 0 or gap > 3 * int(lengths[0]):
             return []
-        for a in lengths[:64]:
+        # Bits of the available lengths, upwards and downwards: one shift tells whether a pair may have a sum.
+        up = int.from_bytes(np.packbits(have > 0, bitorder="little").tobytes(), "little")
+        down = int.from_bytes(np.packbits(have[::-1] > 0, bitorder="little").tobytes(), "little")
+        for a in lengths[:tried].tolist():
+            if not up & down >> (capacity - gap + a):
+                continue
             have[a] -= 1
             two = pair(gap - int(a))
             have[a] += 1

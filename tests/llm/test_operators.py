@@ -115,6 +115,21 @@ def test_plan_uses_every_piece_once():
         plan_patterns({101: 1}, 100)
 
 
+def test_plan_of_two_humps():
+    from foliant.llm.packing import plan_patterns
+
+    counts = Counter()
+    for n in range(1700, 1901):
+        counts.update({n: 10, 700: 20, 4096 - 1400 - n: 10})
+    plan = plan_patterns(dict(counts))
+    used = Counter()
+    for lengths, times in plan:
+        assert sum(lengths) <= 4096
+        used.update({n: times * k for n, k in Counter(lengths).items()})
+    assert used == counts
+    assert sum(times for _, times in plan) == 2010  # the bound: each long length with 700 + 700 + the rest
+
+
 # 2
 
 
