@@ -17,7 +17,7 @@ TOOLS = "array<struct<name:string,parameters:struct<properties:map<string,struct
 
 
 def _parsed(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, kind, content, calls, call_id, tools; one row per input row."""
+    """conv_id, turn, role, text, kind, content, calls, call_id, tools, definitions; one row per input row."""
     rows = turns.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
     )
@@ -37,7 +37,7 @@ def _parsed(turns: DataFrame) -> DataFrame:
     content = F.when(F.col("kind") == "plain", F.coalesce("text", F.lit(""))).otherwise(
         F.coalesce(part("$.content", "string"), F.to_json(part("$.content", "variant")), F.lit(""))
     )
-    return rows.withColumn("content", content).drop("v")
+    return rows.withColumn("content", content).withColumn("definitions", F.when(F.col("kind") == "tools", part("$.tools", "variant"))).drop("v")
 
 
 def _kind_of(value):
@@ -60,7 +60,8 @@ def link_calls(turns: DataFrame) -> DataFrame:
     Calls and results meet in a hash join on (conv_id, call_id). Of equal ids the first call and the first result (by
     turn, then place) are linked; later ones get status `duplicate`. Others: `linked`, `no_result`, `no_call`.
     problems lists, sorted and joined by `; `, what breaks the schema of the called tool: `unknown tool`, `missing p`,
-    `unexpected p`, `p is not t`, `arguments are not an object`; empty where no schema is given in the conversation.
+    `unexpected p`, `p is not t`, `arguments are not an object`. Where no schema is given in the conversation, only the
+    last one is reported, of arguments that aren't JSON.
     """
     rows = _parsed(turns).where("conv_id IS NOT NULL")
     calls = rows.where("kind = 'calls'").select("conv_id", "turn", F.posexplode("calls").alias("pos", "c"))
@@ -89,7 +90,8 @@ def link_calls(turns: DataFrame) -> DataFrame:
     )
     nothing = F.array().cast("array<string>")
     problems = (
-        F.when(F.col("has_schema").isNull(), nothing)
+        F.when(F.col("has_schema").isNull() & F.col("arguments").isNotNull() & F.try_parse_json("arguments").isNull(), F.array(F.lit("arguments are not an object")))
+        .when(F.col("has_schema").isNull(), nothing)
         .when(F.col("tool").isNull(), F.array(F.lit("unknown tool")))
         .when(F.col("args").isNull(), F.array(F.lit("arguments are not an object")))
         .otherwise(
@@ -116,7 +118,8 @@ def format_chat(turns: DataFrame) -> DataFrame:
     (order_turn, order_step, turn) is a topological order of the conversation: messages go by turn, but a result that
     stands before its call follows the call. linked_turn is the call's turn of a result. valid is false for a message
     with a call that breaks its schema, a duplicate, a call without result or a result without call. message is
-    canonical JSON: keys sorted, no blanks, arguments with sorted keys, fields without a value left out.
+    canonical JSON: keys sorted, no blanks, arguments with sorted keys, fields without a value left out. Arguments that
+    aren't JSON stay as their string, absent ones are {}; a system message keeps its whole tool definitions.
 
     turns needs conv_id, turn, role, text; other columns are ignored. Null roles read as "user", null texts as empty;
     rows with a null conv_id or turn are formatted without links; repeated rows give repeated messages. An empty table
@@ -131,12 +134,13 @@ def format_chat(turns: DataFrame) -> DataFrame:
     )
     joined = rows.join(by_call, ["conv_id", "turn"], "left").join(by_result, ["conv_id", "turn", "call_id"], "left")
     role = F.coalesce("role", F.lit("user"))
-    calls = F.transform("calls", lambda c: F.struct(F.coalesce(F.try_parse_json(c["arguments"]), F.try_parse_json(F.lit("{}"))).alias("arguments"), c["id"].alias("id"), c["name"].alias("name")))
+    as_text = lambda c: F.try_variant_get(F.try_parse_json(F.to_json(F.struct(c.alias("s")))), "$.s", "variant")
+    calls = F.transform("calls", lambda c: F.struct(F.coalesce(F.try_parse_json(c["arguments"]), as_text(c["arguments"]), F.try_parse_json(F.lit("{}"))).alias("arguments"), c["id"].alias("id"), c["name"].alias("name")))
     message = F.to_json(
         F.struct(
             F.col("content"), role.alias("role"), F.col("call_id").alias("tool_call_id"),
             F.when(F.col("kind") == "calls", calls).alias("tool_calls"),
-            F.when(F.col("kind") == "tools", F.transform("tools", lambda t: t["name"])).alias("tools"),
+            F.col("definitions").alias("tools"),
         )
     )
     moved = F.col("linked_turn") > F.col("turn")

@@ -277,6 +277,20 @@ def test_tool_calls(spark):
     assert format_chat(d.limit(0)).count() == 0
 
 
+def test_chat_keeps_arguments_and_tools(spark):
+    import json
+
+    from foliant.llm.chat import format_chat
+
+    tools = [{"name": "f", "description": "d", "parameters": {"properties": {"p": {"type": "string", "enum": ["x"]}}, "required": ["p"]}}]
+    call = json.dumps({"content": "", "tool_calls": [{"id": "a", "name": "f", "arguments": '{"p": "x'}]})
+    result = json.dumps({"tool_call_id": "a", "content": "ok"})
+    d = [(1, 0, "assistant", call), (1, 1, "tool", result), (2, 0, "system", json.dumps({"content": "s", "tools": tools}))]
+    got = {(r["conv_id"], r["turn"]): r for r in format_chat(spark.createDataFrame(d, "conv_id long, turn long, role string, text string")).collect()}
+    assert json.loads(got[1, 0]["message"])["tool_calls"][0]["arguments"] == '{"p": "x' and not got[1, 0]["valid"]
+    assert json.loads(got[2, 0]["message"])["tools"] == tools and got[2, 0]["valid"]
+
+
 # 6
 
 
