@@ -34,9 +34,10 @@ def encoder(path: str):
 
     The tokenizer drops white space and never joins across it, nor letters with what isn't a letter. So a text's ids
     are the ids of its words in turn, and a Latin word that ends in a comma or full stop has the ids of its lower-cased
-    letters, then those of the sign; letters go to the merges directly, other words through the whole tokenizer. Words
-    and letter runs are remembered for the life of the worker process; runs not asked for since the memory was last
-    full are forgotten.
+    letters, then those of the sign; letters go to the merges directly, other words through the whole tokenizer. A text
+    that holds one of the tokenizer's added strings (such as its end mark), which it finds before it cuts words, goes
+    through the whole tokenizer as it is. Words and letter runs are remembered for the life of the worker process; runs
+    not asked for since the memory was last full are forgotten.
     """
     memory = process_memory(f"word ids {path}")
     if memory:
@@ -46,7 +47,7 @@ def encoder(path: str):
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
     merges = tok.model.tokenize
     odd = re.compile("[\x1c-\x1f]")
     spaces = re.compile("[\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -85,6 +86,8 @@ def encoder(path: str):
             before.clear()
             before.update(runs)
             runs.clear()
+        if any(mark in text for mark in added):
+            return _packed(tok.encode(text, add_special_tokens=False).ids)
         return b"".join(map(ids_of, [w for w in spaces.split(text) if w] if odd.search(text) else text.split()))
 
     memory["encode"] = encode
@@ -256,6 +259,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    located = made.join(starts.select("length", "task", "base"), ["length", "task"])
+    # Bases are as many as tasks times lengths, so they grow with the corpus: both sides are dealt by (length, task).
+    located = made.join(starts.select("length", "task", "base").hint("shuffle_hash"), ["length", "task"])
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return located.mapInArrow(place, schema)
