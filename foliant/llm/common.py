@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliant.staging import shared_dir, stage
 
-__all__ = ["components", "forget", "only", "process_memory", "shared_dir", "stage", "tidy", "without"]
+__all__ = ["components", "forget", "meet", "only", "process_memory", "shared_dir", "stage", "tidy", "without"]
 
 
 def forget() -> None:
@@ -49,6 +49,27 @@ def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return df.join(side, df[column].cast("long") == F.col("_gone"), "left_anti")
 
 
+HOT = 1000
+
+
+def meet(many: DataFrame, one: DataFrame, on: list[str]) -> DataFrame:
+    """many.join(one, on), where `one` has a row per key and a key may have any number of rows in `many` (staged tables).
+
+    A key of over HOT rows is dealt over one task per HOT rows: its rows in `many` get a salt by their hash, its row of
+    `one` is repeated once per salt. Hot keys are at most a HOT-th of the rows; they are counted before they are broadcast.
+    """
+    many_rows = many.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT)
+    hot = stage(many_rows.select(*on, F.ceil(F.col("_n") / HOT).cast("int").alias("_salts")))
+    n = hot.count()
+    if not n:
+        return many.join(one, on)
+    side = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
+    salts = F.coalesce("_salts", F.lit(1))
+    left = many.join(side, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*many.columns), salts).cast("int")).drop("_salts")
+    right = one.join(side, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
 def process_memory(name: str) -> dict:
     """A dictionary that lasts as long as the worker process, so that later tasks find what earlier ones looked up."""
     home = sys.modules.setdefault("_foliant_process_memory", ModuleType("_foliant_process_memory"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import components, forget, only, stage, tidy, without
+from foliant.llm.common import BROADCAST_ROWS, components, forget, meet, only, stage, tidy, without
 
 BANDS, ROWS = 52, 7
 MISS = 1e-6
@@ -30,7 +30,7 @@ STEP = 52
 HUB_ROUNDS = 2
 BLOCK = 128
 BLOCK_SHINGLES = 200_000
-TRACE = "doc_id long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>"
+TRACE = "doc_id long, version long, n_shingles long, h1 long, h2 long, sig binary, bands array<long>"
 
 
 def shingler(k: int):
@@ -104,7 +104,7 @@ def least_matches(threshold: float, n_hashes: int, step: int, miss: float) -> li
 
 
 def traces(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, set size, a 128-bit digest of the set, one-byte signature, band keys."""
+    """doc_id, a hash of the text, set size, a 128-bit digest of the set, one-byte signature, band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -129,105 +129,118 @@ def traces(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS) -> Dat
                     key ^= key >> np.uint64(29)
                 keys.append(key.view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
                  pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "h1", "h2", "sig", "bands"],
+                ["doc_id", "version", "n_shingles", "h1", "h2", "sig", "bands"],
             )
         tidy()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, TRACE)
+    return _versions(docs).mapInArrow(run, TRACE)
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    """doc_id: everything that stands in a pair, once; staged, as it is counted and then joined."""
-    return stage(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+def _versions(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the text's hash, which tells the rows of one doc_id apart."""
+    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return d.withColumn("version", F.xxhash64("text"))
 
 
-def _pruned(pairs: DataFrame, reps: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
-    """Sequential comparison of both signatures; pairs a, b that may reach the threshold stay."""
+def _rows_of(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """One row per node of marks (node, doc_id, version; staged): that of its representative."""
+    side = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS // 2 else marks
+    return rows.join(side, ["doc_id", "version"]).drop("doc_id", "version").dropDuplicates(["node"])
+
+
+def _marks(marks: DataFrame, nodes: DataFrame) -> DataFrame:
+    return stage(only(marks.select("node", "doc_id", "version"), stage(nodes), "node"))
+
+
+def _pruned(pairs: DataFrame, reps: DataFrame, marks: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
+    """Sequential comparison of both signatures; pairs node, hub that may reach the threshold stay."""
     tests = least_matches(threshold, bands * rows, STEP, MISS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sig", "hub_sig"))
             alive, agreed, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64), 0
             for n, need in tests:
                 agreed[alive] += (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
                 alive, done = alive[agreed[alive] >= need], n
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in ("a", "b")], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in ("node", "hub")], ["node", "hub"])
 
-    reps = only(reps, _ends(pairs), "doc_id").dropDuplicates(["doc_id"])
-    left = reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"), F.col("n_shingles").alias("na"))
-    right = reps.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"), F.col("n_shingles").alias("nb"))
-    both = pairs.join(left, "a").join(right, "b")
-    fits = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
-    return both.where(fits).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    mine, hubs = (_rows_of(reps, _marks(marks, pairs.select(F.col(c).alias("node")).distinct())) for c in ("node", "hub"))
+    hubs = stage(hubs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig"), F.col("n_shingles").alias("hub_n")))
+    both = meet(pairs, hubs, ["hub"]).join(mine, "node")
+    fits = F.least("n_shingles", "hub_n") >= threshold * F.greatest("n_shingles", "hub_n") - 1e-9
+    return both.where(fits).select("node", "hub", "sig", "hub_sig").mapInArrow(run, "node long, hub long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
+def _verified(pairs: DataFrame, texts: DataFrame, marks: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: the pairs whose full sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = shingler(k)
         kept: dict[int, np.ndarray] = {}
 
-        def of(doc_id: int, text: str) -> np.ndarray:
-            if doc_id not in kept:
+        def of(node: int, text: str) -> np.ndarray:
+            if node not in kept:
                 if len(kept) >= 64:
                     kept.pop(next(iter(kept)))
-                kept[doc_id] = sets(text)
-            return kept[doc_id]
+                kept[node] = sets(text)
+            return kept[node]
 
         for batch in batches:
             ok = []
-            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
+            for a, b, ta, tb in zip(*(batch.column(c).to_pylist() for c in ("node", "hub", "text", "hub_text")), strict=True):
                 x, y = of(a, ta), of(b, tb)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             take = pa.array(np.flatnonzero(ok), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("a", "b")], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(take) for c in ("node", "hub")], ["a", "b"])
         kept.clear()
         tidy()
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    mine, hubs = (_rows_of(texts, _marks(marks, pairs.select(F.col(c).alias("node")).distinct())) for c in ("node", "hub"))
+    hubs = hubs.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
+    both = meet(pairs, hubs, ["hub"]).join(mine, "node")
+    return both.select("node", "hub", "text", "hub_text").mapInArrow(run, "a long, b long")
+
 
+def _families(active: DataFrame, reps: DataFrame, texts: DataFrame, marks: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Verified links a, b between nodes of different labels, each outside member of a family against all members.
 
-def _families(active: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """Verified links a, b between documents of different labels, each outside member of a family against all members."""
+    Members come in blocks; every pair of an outside block and a block of the same family is a row of its own key.
+    """
     tests = least_matches(percent / 100, bands * rows, STEP, MISS)
     threshold = percent / 100
-    firsts = active.groupBy("key").agg(F.min("doc_id").alias("b"))
-    together = components(active.select("key", F.col("doc_id").alias("a")).join(firsts, "key").select("a", "b"))
-    members = stage(
-        active.select("doc_id", "label").distinct().join(together.select(F.col("node").alias("doc_id"), F.col("label").alias("family")), "doc_id")
-    )
+    firsts = active.groupBy("key").agg(F.min("node").alias("b"))
+    together = components(meet(active.select("key", F.col("node").alias("a")), firsts, ["key"]).select("a", "b"))
+    alone = active.select(F.col("node").alias("n")).distinct().join(together, F.col("n") == F.col("node"), "left")
+    family = alone.select(F.col("n").alias("node"), F.coalesce("label", "n").alias("family"))
+    members = stage(active.select("node", "label").distinct().join(family, "node"))
     per = members.groupBy("family", "label").agg(F.count("*").alias("c"))
-    main = per.groupBy("family").agg(F.max(F.struct("c", "label"))["label"].alias("main"))
+    main = per.groupBy("family").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    members = stage(meet(members, stage(main.select("family", "main")), ["family"]))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = shingler(k)
+        made_of = shingler(k)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                made = [sets(t.as_py()).view(np.int64) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.list_(pa.int64()))], ["doc_id", "shingles"])
-
-    ids = stage(members.select("doc_id").distinct())
-    wanted = only(texts, ids, "doc_id").dropDuplicates(["doc_id"])
-    reps = stage(only(reps, ids, "doc_id").dropDuplicates(["doc_id"]))
-    full = members.join(main, "family").join(reps.select("doc_id", "sig", "n_shingles"), "doc_id")
-    full = full.join(wanted.select("doc_id", "text").mapInArrow(read, "doc_id long, shingles array<long>"), "doc_id")
-    sizes = members.join(reps.select("doc_id", "n_shingles"), "doc_id").groupBy("family").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
-    )
-    full = stage(full.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))))
-    item = F.struct("doc_id", "label", "sig", "n_shingles", "shingles")
+                made = [made_of(t.as_py()).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    own = _marks(marks, members.select("node").distinct())
+    sets = _rows_of(texts, own).select("node", "text").mapInArrow(read, "node long, shingles array<long>")
+    full = stage(members.join(_rows_of(reps, own).select("node", "sig", "n_shingles"), "node").join(sets, "node"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    full = meet(full, stage(full.groupBy("family").agg(blocks.alias("blocks"))), ["family"])
+    full = stage(full.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    item = F.struct("node", "label", "sig", "n_shingles", "shingles")
     walls = stage(full.groupBy("family", "block").agg(F.collect_list(item).alias("members")))
-    asked = stage(full.where("label != main").groupBy("family", "block").agg(F.collect_list(item).alias("asked")).select("family", "asked"))
+    asked = full.where("label != main").groupBy("family", "blocks", F.col("block").alias("from_block")).agg(F.collect_list(item).alias("asked"))
+    asked = stage(asked).select("family", "asked", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +249,7 @@ def _families(active: DataFrame, reps: DataFrame, texts: DataFrame, k: int, perc
                 xs, ys = mine.values, wall.values
                 sig = np.frombuffer(b"".join(ys.field("sig").to_pylist()), np.uint8).reshape(len(ys), -1)
                 size, label = ys.field("n_shingles").to_numpy(), ys.field("label").to_numpy()
-                ids, held = ys.field("doc_id").to_numpy(), ys.field("shingles")
+                ids, held = ys.field("node").to_numpy(), ys.field("shingles")
                 for i in range(len(xs)):
                     x = xs[i]
                     n, own = x["n_shingles"].as_py(), np.frombuffer(x["sig"].as_py(), np.uint8)
@@ -256,28 +269,40 @@ def _families(active: DataFrame, reps: DataFrame, texts: DataFrame, k: int, perc
                     at = np.minimum(np.searchsorted(mine_set, flat), len(mine_set) - 1)
                     both = np.add.reduceat((mine_set[at] == flat).astype(np.int64), np.cumsum(counts) - counts)
                     for j in alive[100 * both >= percent * (n + counts - both)]:
-                        a.append(x["doc_id"].as_py())
+                        a.append(x["node"].as_py())
                         b.append(int(ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return asked.join(walls, "family").select("asked", "members").mapInArrow(compare, "a long, b long")
+    return asked.join(walls, ["family", "block"]).select("asked", "members").mapInArrow(compare, "a long, b long")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """rows with the label of doc_id; a document without links is its own label."""
-    found = labels.select(F.col("node").alias("doc_id"), F.col("label"))
-    return rows.join(found, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    """rows with the label of their node; a node without links is its own label."""
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """Labels after further links: the components of the graph of labels carry over to the documents."""
-    a = _labelled(found.select(F.col("a").alias("doc_id"), "b"), labels).select(F.col("label").alias("a"), F.col("b").alias("doc_id"))
+    """Labels after further links: the components of the graph of labels carry over to the nodes."""
+    a = _labelled(found.select(F.col("a").alias("node"), "b"), labels).select(F.col("label").alias("a"), F.col("b").alias("node"))
     joined = components(_labelled(a, labels).select("a", F.col("label").alias("b")))
     ends = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
     alone = ends.join(labels, "node", "left_anti").withColumn("label", F.col("node"))
     moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))
-    every = labels.unionByName(alone.select("node", "label"))
-    return stage(every.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+    every = stage(labels.unionByName(alone.select("node", "label")))
+    stay = every.join(moved, "label", "left_anti").select("node", "label")
+    return stage(meet(every, moved, ["label"]).select("node", F.col("to").alias("label")).unionByName(stay))
+
+
+def _of_one_id(named: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links a, b between the classes in which one doc_id stands with differing texts; None where no id does."""
+    span = named.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("h1", "h2") for f in (F.min, F.max)])
+    several = stage(span.where("min_h1 < max_h1 OR min_h2 < max_h2").select("doc_id"))
+    if several.isEmpty():
+        return None
+    stands = only(named.select("doc_id", "h1", "h2"), several, "doc_id").join(classes.select("h1", "h2", "node"), ["h1", "h2"])
+    stands = stage(stands.select("doc_id", F.col("node").alias("b")).distinct())
+    firsts = stage(stands.groupBy("doc_id").agg(F.min("b").alias("a")))
+    return meet(stands, firsts, ["doc_id"]).where("a < b").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -286,54 +311,62 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     docs needs doc_id and text; other columns are ignored. Documents are linked when 100 * |intersection| is at least
     percent * |union| of their shingle sets; component_id is the smallest doc_id reachable, kept marks that document.
     A text without words (null, empty, white space) is linked with nothing. A row with a null doc_id can't be named
-    as anyone's duplicate: it is returned with its own size, a null component and kept true. Rows that repeat a doc_id
-    share its component. An empty table gives no rows.
+    as anyone's duplicate: it is returned with its own size, a null component and kept true. Rows with words that repeat
+    a doc_id are one document: they share its component, which every one of their texts can extend. An empty table
+    gives no rows.
     """
     threshold = percent / 100
     all_rows = stage(traces(docs, k, bands, rows))
     named = all_rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = stage(named.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")))
-    firsts = classes.select(F.col("rep").alias("doc_id"))
-    reps = named.select("doc_id", "n_shingles", "sig")
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    # One shuffle by band key serves the count and the join back to it.
-    active = only(named.select("doc_id", "bands"), firsts, "doc_id").select(F.explode("bands").alias("key"), "doc_id")
-    active = active.repartition("key").withColumn("label", F.col("doc_id"))
+    classes = named.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "version")).alias("r"))
+    # Numbers of classes are fixed by writing them.
+    classes = stage(classes.select("h1", "h2", "r.doc_id", "r.version", F.monotonically_increasing_id().alias("node")))
+    marks = classes.select("node", "doc_id", "version")
+    reps = named.select("doc_id", "version", "n_shingles", "sig")
+    texts = _versions(docs)
+    same_id = _of_one_id(named, classes)
+
+    side = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS // 2 else marks
+    active = named.select("doc_id", "version", "bands").join(side, ["doc_id", "version"])
+    active = active.select(F.explode("bands").alias("key"), "node", F.col("node").alias("label"))
     labels = None
     for turn in range(HUB_ROUNDS + 1):
         if turn < HUB_ROUNDS:
-            if turn == 0:
-                hubs = active.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
-                hubs = hubs.select("key", "hub", F.col("hub").alias("hub_label"))
+            if turn == 0:  # counts are combined before the shuffle; keys of one node go with it
+                hubs = active.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
+                hubs = stage(hubs.select("key", "hub", F.col("hub").alias("hub_label")))
+                active = stage(active.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_ROWS else hubs, "key", "left_semi"))
             else:
-                order = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("o"), "doc_id", "label")
+                order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "label")
                 hubs = active.groupBy("key").agg(F.min(order).alias("hub"))
-                hubs = hubs.select("key", F.col("hub.doc_id").alias("hub"), F.col("hub.label").alias("hub_label"))
-            active = stage(active.join(hubs, "key").where("doc_id != hub"))
-            pairs = active.where("label != hub_label").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-            maybe = stage(_pruned(stage(pairs), reps, threshold, bands, rows))
-            found = stage(_verified(maybe, only(texts, _ends(maybe), "doc_id").dropDuplicates(["doc_id"]), k, percent))
+                hubs = stage(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")))
+            active = stage(meet(active, hubs, ["key"]).where("node != hub"))
+            pairs = stage(active.where("label != hub_label").select("node", "hub").distinct())
+            maybe = stage(_pruned(pairs, reps, marks, threshold, bands, rows))
+            found = _verified(maybe, texts, marks, k, percent)
+            found = stage(found if labels is not None or same_id is None else found.unionByName(same_id))
         else:
-            found = stage(_families(active, reps, texts, k, percent, bands, rows))
+            found = stage(_families(active, reps, texts, marks, k, percent, bands, rows))
         if labels is None:
             labels = components(found)
         elif not found.isEmpty():
             labels = _merged(labels, found)
         if turn == HUB_ROUNDS:
             break
-        active = _labelled(active.select("key", "doc_id"), labels)
-        open_ = active.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        active = stage(active.join(open_, "key", "left_semi"))
-        if active.isEmpty():
+        active = stage(_labelled(active.select("key", "node"), labels))
+        open_ = stage(active.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key"))
+        if open_.isEmpty():
             break
-
-    reach = classes.join(labels, F.col("rep") == F.col("node"), "left")
-    reach = stage(reach.select("h1", "h2", F.coalesce("label", "rep").alias("reached")))
-    out = all_rows.select("doc_id", "n_shingles", "h1", "h2").join(reach, ["h1", "h2"], "left")
-    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("reached")).alias("component_id"))
-    # A repeated doc_id with differing texts can stand in two classes; its links then join what they reach.
+        active = stage(meet(active, open_, ["key"]))
+
+    linked = stage(labels.join(marks, "node").select("node", "label", "doc_id"))
+    least = stage(linked.groupBy("label").agg(F.min("doc_id").alias("reached")))
+    reach = meet(linked, least, ["label"]).select("node", "reached")
+    reach = stage(classes.join(reach, "node", "left").select("h1", "h2", F.coalesce("reached", "doc_id").alias("reached")))
+    own = all_rows.select("doc_id", "n_shingles", "h1", "h2")
+    joins = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    out = meet(own.where(joins), reach, ["h1", "h2"]).select("doc_id", "n_shingles", F.col("reached").alias("component_id"))
+    out = out.unionByName(own.where(~joins).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
