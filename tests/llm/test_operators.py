@@ -98,6 +98,17 @@ def test_packing(docs, empty, rows):
     assert pack(empty, tokenizer_path()).count() == 0
 
 
+def test_encoder_reads_added_tokens():
+    from tokenizers import Tokenizer
+
+    from foliant.llm.packing import encoder
+    from foliant.llm.queries import tokenizer_path
+
+    tok, encode = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
+    for t in ("a b<|endoftext|>c d", "<|startoftext|>", "x <|ENDOFTEXT|> y", "<|endoftext|", "l'<|endoftext|>'s \x1c x", "", "Plain, words."):
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_plan_uses_every_piece_once():
     from foliant.llm.packing import plan_patterns, slots
 
@@ -179,6 +190,40 @@ def test_near_duplicates(docs, empty, rows, k):
     assert near_duplicates(empty, k=k).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Versions of one doc_id hang together and each can extend the component."""
+    from foliant.llm.neardup import near_duplicates
+
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(40))
+    a, b, c, e = text(), text(), text(), text()
+    rows = [(0, b), (1, a), (1, b), (2, a), (5, c), (6, c + " more"), (6, e), (7, e + " words"), (8, ""), (8, text()), (9, text()), (9, text()), (None, a)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()
+    assert len(got) == len(rows)
+    of = {r["doc_id"]: r["component_id"] for r in got if r["n_shingles"]}
+    assert of == {0: 0, 1: 0, 2: 0, 5: 5, 6: 5, 7: 5, 8: 8, 9: 9, None: None}
+    assert len({(r["doc_id"], r["component_id"]) for r in got if r["doc_id"] in (1, 6, 9)}) == 3
+
+
+def test_near_duplicates_with_hot_keys(spark, monkeypatch):
+    """The salted joins give what plain ones give."""
+    from foliant.llm import common
+    from foliant.llm.neardup import near_duplicates
+
+    monkeypatch.setattr(common, "HOT", 3)
+    rng = random.Random(8)
+    base = [[f"w{j}-{i}" for i in range(60)] for j in range(3)]
+    rows = []
+    for i in range(120):
+        w = list(base[i % 3])
+        for _ in range(rng.randint(0, 7)):
+            w[rng.randrange(60)] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, rows[0][1]) for i in range(20)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
+    assert got == groups(rows, 2)
+
+
 def test_near_duplicates_in_one_large_family(spark):
     """Many copies around the threshold: hubs alone miss links that the blocks find."""
     from foliant.llm.neardup import near_duplicates
@@ -369,6 +414,36 @@ def test_passages_whose_seeds_begin_elsewhere(spark):
     assert found == {(4, 30, 90, 3, 7, 67, 60), (7, 0, 60, 3, 7, 67, 60), (12, 0, 60, 11, 0, 60, 60), (12, 90, 150, 11, 0, 60, 60)}
 
 
+def test_passages_of_repeated_ids(spark):
+    """Versions of one doc_id: each keeps its own places, and they aren't compared with each other."""
+    from foliant.llm.substring import repeated_passages
+
+    rng = random.Random(9)
+    text = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = text(60), text(60)
+    d = [(1, p), (2, ["zz"] * 300 + p), (2, ["zzz", "short"]), (2, text(3) + q), (3, q + text(5)), (3, text(4) + q), (3, q + text(5))]
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in d], "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["start"], r["end"], r["other_id"], r["other_start"], r["other_end"], r["matched"]) for r in got}
+    assert found == {(2, 300, 360, 1, 0, 60, 60), (3, 0, 60, 2, 3, 63, 60), (3, 4, 64, 2, 3, 63, 60)}
+
+
+def test_fuzzy_passages_are_found(spark):
+    """Every tenth word differs: no run of ten equal words, identity of 0.9."""
+    from foliant.llm.substring import repeated_passages
+
+    rng = random.Random(10)
+    text = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows, found = [], 0
+    for i in range(60):
+        p = text(300)
+        other = [w if j % 10 else f"x{i}-{j}" for j, w in enumerate(p)]
+        rows += [(2 * i, " ".join(text(20) + p)), (2 * i + 1, " ".join(other + text(20)))]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["doc_id"] == r["other_id"] + 1 and r["other_id"] % 2 == 0 and r["matched"] >= 0.85 * (r["end"] - r["start"]) for r in got)
+    found = len({r["doc_id"] for r in got if r["end"] - r["start"] > 250})
+    assert found >= 58
+
+
 def test_chains_against_all_subsets():
     from foliant.llm.substring import _common, chains
 
@@ -380,7 +455,7 @@ def test_chains_against_all_subsets():
         value = lambda c: 12 * len(c) - 0.05 * sum(x[b] - x[a] + y[b] - y[a] for a, b in zip(c, c[1:], strict=False))
         subsets = [[i for i in range(len(pts)) if m >> i & 1] for m in range(1, 1 << len(pts))]
         best = max(value(c) for c in subsets if all(x[a] < x[b] and y[a] < y[b] for a, b in zip(c, c[1:], strict=False)))
-        assert abs(value(chains(x, y)[0]) - best) < 1e-9
+        assert abs(value(chains(x, y, 12)[0]) - best) < 1e-9
     assert _common([1, 2, 3, 4], [2, 9, 4]) == 2 and _common([], [1]) == 0
 
 
