@@ -5,9 +5,11 @@ text. The model's classes are the most frequent words, the end, and for all othe
 letters and sign; inside a bucket a word has its share of the bucket's counts, an unseen word half a count.
 A context of two classes gives the vector R1[c1] + R2[c2]; class w has the score vector . Q[w] + b[w].
 
-Training reads every training text once: each input partition (at most SHARDS of them) trains by minibatches from a
-common start, and the parameters are averaged, weighted by tokens. The start itself is trained on at most WARM_DOCS
-texts. Scoring normalises exactly: matrix products give all class scores of a context, their log-sum is kept.
+Training reads every training text once, in two rounds: the texts whose hash falls on one of FIRST, then all others.
+In a round the texts are dealt by hash to shards of about SHARD_TOKENS tokens, as many as the corpus asks for; each shard
+trains by minibatches in hash order from the round's common start, and the parameters are averaged, weighted by tokens.
+Texts, shards and their order follow from the rows alone, so scores don't depend on how the table is partitioned.
+Scoring normalises exactly: matrix products give all class scores of a context, their log-sum is kept.
 """
 
 from __future__ import annotations
@@ -30,8 +32,12 @@ WIDTH = 24
 NOISE = 32
 MINIBATCH = 4096
 RATE = 0.08
-SHARDS = 512
-WARM_DOCS = 1500
+#: One text in FIRST trains the start of the others.
+FIRST = 8
+SHARD_TOKENS = 4_000_000
+CHUNK = 16 * MINIBATCH
+#: Averaged parameters are rounded, so that the order of their sum can't show.
+DIGITS = 6
 SIGNS = b".,;:!?\"'()*&%$#"
 
 
@@ -72,19 +78,19 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Vocabulary:
     """Head classes, bucket totals and the counts of the KNOWN most frequent words, all of bounded size."""
 
-    def __init__(self, h: np.ndarray, n: np.ndarray, n_tokens: int, n_types: int, n_texts: int, buckets: np.ndarray):
-        self.h, self.n = h, n  # sorted by h
+    def __init__(self, h: np.ndarray, n: np.ndarray, n_tokens: int, n_types: int, n_texts: int, buckets: np.ndarray, head: int = HEAD):
+        self.h, self.n, self.head = h, n, head  # sorted by h
         self.n_tokens, self.n_types, self.n_texts = n_tokens, n_types, n_texts
-        top = np.argsort(-n, kind="stable")[:HEAD]
+        top = np.argsort(-n, kind="stable")[:head]
         self.head_of = np.full(len(h), -1, dtype=np.int32)
         self.head_of[np.sort(top)] = np.arange(len(top))
-        self.size = HEAD + BUCKETS + 1
+        self.size = head + BUCKETS + 1
         self.end = self.size - 1
         mass = np.zeros(self.size)
         mass[self.head_of[self.head_of >= 0]] = n[self.head_of >= 0] + 0.5
-        mass[HEAD : HEAD + BUCKETS] = buckets + 0.5
+        mass[head : head + BUCKETS] = buckets + 0.5
         mass[self.end] = n_texts + 0.5
-        mass[: HEAD][mass[:HEAD] == 0] = 1e-3
+        mass[: head][mass[:head] == 0] = 1e-3
         self.log_total = np.log10(buckets + 0.5)
         self.share = (mass / mass.sum()).astype(np.float64)
 
@@ -98,11 +104,11 @@ class Vocabulary:
     def classes(self, h: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class of each word, and its count or -1 where it isn't among the KNOWN."""
         if not len(self.h):
-            return (HEAD + bucket).astype(np.int32), np.full(len(h), -1, dtype=np.int64)
+            return (self.head + bucket).astype(np.int32), np.full(len(h), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
         hit = self.h[at] == h
         head = np.where(hit, self.head_of[at], -1)
-        return np.where(head >= 0, head, HEAD + bucket).astype(np.int32), np.where(hit, self.n[at], -1)
+        return np.where(head >= 0, head, self.head + bucket).astype(np.int32), np.where(hit, self.n[at], -1)
 
 
 class Reader:
@@ -207,40 +213,68 @@ def contexts(sequences: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndar
     return c1, c2, w
 
 
-def fit(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Parameters trained on every text (column text)."""
-    warm = [r["text"] for r in texts.select("text", F.xxhash64("text").alias("o")).orderBy("o").where("length(text) <= 20000").limit(WARM_DOCS).collect()]
-    trainer, reader = Trainer(start(vocabulary), vocabulary.share, 1), Reader(vocabulary)
-    for at in range(0, len(warm), 250):
-        trainer.texts([reader.cls[i] for i in reader.read(warm[at : at + 250])], vocabulary.end)
-    spark = texts.sparkSession
-    begin = spark.sparkContext.broadcast((trainer.parameters(), vars(vocabulary)))  # bounded by the number of classes and KNOWN
+def fit(texts: DataFrame, vocabulary: Vocabulary, shard_tokens: int = SHARD_TOKENS) -> np.ndarray:
+    """Parameters trained on every text. texts: text, and o, a hash of its row."""
+    p = start(vocabulary)
+    first = F.pmod("o", F.lit(FIRST)) == 0
+    for rows, share in ((texts.where(first), 1 / FIRST), (texts.where(~first), 1 - 1 / FIRST)):
+        p = _trained(rows, vocabulary, p, max(1, round(vocabulary.n_tokens * share / shard_tokens)))
+    return p
+
+
+def _trained(texts: DataFrame, vocabulary: Vocabulary, p: np.ndarray, shards: int) -> np.ndarray:
+    """One round: the mean of the parameters of all shards, each begun at p; p itself without texts."""
+    begin = texts.sparkSession.sparkContext.broadcast((p, vars(vocabulary)))  # bounded by the number of classes and KNOWN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, state = begin.value
         v = Vocabulary.of(state)
-        t, r = Trainer(p, v.share, 2), Reader(v)
+        r = Reader(v)
+        total, seen, waiting, trainer, now = np.zeros(p.shape), 0, 0, None, None
+        held: list[np.ndarray] = []
+
+        def flush() -> None:
+            nonlocal waiting
+            trainer.texts(held, v.end)
+            held.clear()
+            waiting = 0
+
+        def close() -> None:
+            nonlocal seen
+            if trainer is not None:
+                flush()
+                total[:] += trainer.parameters().astype(np.float64) * trainer.seen
+                seen += trainer.seen
+
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                t.texts([r.cls[i] for i in r.read(batch.column(0).slice(at, 500).to_pylist())], v.end)
-        if t.seen:
-            rows = t.parameters() * np.float32(t.seen)
+                part = batch.slice(at, 500)
+                for places, shard in zip(r.read(part.column(1).to_pylist()), part.column(0).to_pylist(), strict=True):
+                    if shard != now:
+                        close()
+                        trainer, now = Trainer(p, v.share, 2), shard
+                    held.append(r.cls[places])
+                    waiting += len(places)
+                    if waiting >= CHUNK:
+                        flush()
+        close()
+        if seen:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(list(rows), pa.list_(pa.float32())), pa.array(np.full(len(rows), t.seen, dtype=np.int64))],
+                [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64())), pa.array(np.full(len(total), seen, dtype=np.int64))],
                 ["class", "row", "seen"],
             )
 
-    parts = texts.select("text")
-    n = parts.rdd.getNumPartitions()
-    if n > SHARDS:
-        parts = parts.coalesce(SHARDS)
-    shards = parts.mapInArrow(run, "class int, row array<float>, seen long")
-    sums = [F.sum(F.col("row")[i].cast("double")).alias(f"s{i}") for i in range(3 * WIDTH + 1)]
-    total = shards.groupBy("class").agg(F.sum("seen").alias("seen"), *sums).toPandas()  # a row per class
+    dealt = texts.select(F.pmod(F.shiftrightunsigned("o", 3), F.lit(shards)).cast("int").alias("shard"), "o", "text")
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "o").select("shard", "text")
+    sums = [F.sum(F.col("row")[i]).alias(f"s{i}") for i in range(3 * WIDTH + 1)]
+    made = dealt.mapInArrow(run, "class int, row array<double>, seen long")
+    total = made.groupBy("class").agg(F.sum("seen").alias("seen"), *sums).toPandas()  # a row per class
+    begin.destroy()
     if not len(total):
-        return trainer.parameters()
+        return p
     total = total.sort_values("class")
-    return (total[[f"s{i}" for i in range(3 * WIDTH + 1)]].to_numpy() / total["seen"].to_numpy()[:, None]).astype(np.float32)
+    mean = total[[f"s{i}" for i in range(3 * WIDTH + 1)]].to_numpy() / total["seen"].to_numpy()[:, None]
+    return np.round(mean, DIGITS).astype(np.float32)
 
 
 class Scorer:
@@ -282,17 +316,18 @@ def _most_frequent(counts: DataFrame, most: int):
     return rows.sort_values(["n", "h"], ascending=[False, True])
 
 
-def scores(docs: DataFrame, held_out) -> DataFrame:
+def scores(docs: DataFrame, held_out, head: int = HEAD) -> DataFrame:
     """Score every text of docs, learning from the rows where held_out is not true.
 
     docs needs doc_id and text; other columns are ignored. Null texts count as empty: their one token is the end. A null
     doc_id is scored and learned from like any other; repeated rows count each time. Without training rows every count
-    is 0 and the classes keep their starting shares. An empty table gives no rows.
+    is 0 and the classes keep their starting shares. An empty table gives no rows. head: how many words are classes of
+    their own; all others meet the model as their bucket.
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    train = rows.where("NOT held_out").select("text")
+    train = rows.where("NOT held_out").select("text", F.xxhash64("doc_id", "text").alias("o"))
     counts = stage(word_counts(train))
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n_texts = train.count()
@@ -301,10 +336,10 @@ def scores(docs: DataFrame, held_out) -> DataFrame:
     by_bucket = counts.groupBy("bucket").agg(F.sum(F.col("n") + 0.5).alias("mass")).toPandas()
     buckets = np.zeros(BUCKETS)
     buckets[by_bucket["bucket"].to_numpy(dtype=np.int64)] = by_bucket["mass"].to_numpy(dtype=np.float64)
-    lead = top.head(HEAD)
+    lead = top.head(head)
     np.subtract.at(buckets, lead["bucket"].to_numpy(dtype=np.int64), lead["n"].to_numpy(dtype=np.float64) + 0.5)
     top = top.sort_values("h")
-    vocabulary = Vocabulary(top["h"].to_numpy(dtype=np.int64), top["n"].to_numpy(dtype=np.int64), n_tokens, n_types, n_texts, np.maximum(buckets, 0))
+    vocabulary = Vocabulary(top["h"].to_numpy(dtype=np.int64), top["n"].to_numpy(dtype=np.int64), n_tokens, n_types, n_texts, np.maximum(buckets, 0), head)
     p = fit(train, vocabulary)
     given = spark.sparkContext.broadcast((p, vars(vocabulary)))
     log_all = float(np.log10(n_tokens + 0.5 * (n_types + 1)))
@@ -331,9 +366,9 @@ def scores(docs: DataFrame, held_out) -> DataFrame:
                     n = reader.n[i]
                     have = n >= 0
                     log_n = np.log10(n[have] + 0.5)
-                    tail = s >= HEAD
+                    tail = s >= v.head
                     base.append(float(log_n.sum()) - log_all * len(i) + end_base)
-                    score.append(float(total + log_n[tail[have]].sum() - v.log_total[s[tail] - HEAD].sum()))
+                    score.append(float(total + log_n[tail[have]].sum() - v.log_total[s[tail] - v.head].sum()))
                     known.append(int((n > 0).sum()) + (v.n_texts > 0))
                     h, c = np.unique(reader.h[i[~have]], return_counts=True)
                     rare.append(h)
