@@ -52,13 +52,16 @@ def without(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 HOT = 1000
 
 
-def meet(many: DataFrame, one: DataFrame, on: list[str]) -> DataFrame:
+def meet(many: DataFrame, one: DataFrame, on: list[str], times: str | None = None) -> DataFrame:
     """many.join(one, on), where `one` has a row per key and a key may have any number of rows in `many` (staged tables).
+    times names the column of `one` with that number, where it is known; it isn't returned.
 
     A key of over HOT rows is dealt over one task per HOT rows: its rows in `many` get a salt by their hash, its row of
     `one` is repeated once per salt. Hot keys are at most a HOT-th of the rows; they are counted before they are broadcast.
     """
-    many_rows = many.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT)
+    counts = many.groupBy(*on).agg(F.count("*").alias("_n")) if times is None else one.select(*on, F.col(times).alias("_n"))
+    one = one if times is None else one.drop(times)
+    many_rows = counts.where(F.col("_n") > HOT)
     hot = stage(many_rows.select(*on, F.ceil(F.col("_n") / HOT).cast("int").alias("_salts")))
     n = hot.count()
     if not n:

@@ -318,9 +318,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     threshold = percent / 100
     all_rows = stage(traces(docs, k, bands, rows))
     named = all_rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = named.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "version")).alias("r"))
+    classes = named.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "version")).alias("r"), F.count("*").alias("n"))
     # Numbers of classes are fixed by writing them.
-    classes = stage(classes.select("h1", "h2", "r.doc_id", "r.version", F.monotonically_increasing_id().alias("node")))
+    classes = stage(classes.select("h1", "h2", "n", "r.doc_id", "r.version", F.monotonically_increasing_id().alias("node")))
     marks = classes.select("node", "doc_id", "version")
     reps = named.select("doc_id", "version", "n_shingles", "sig")
     texts = _versions(docs)
@@ -333,14 +333,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     for turn in range(HUB_ROUNDS + 1):
         if turn < HUB_ROUNDS:
             if turn == 0:  # counts are combined before the shuffle; keys of one node go with it
-                hubs = active.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-                hubs = stage(hubs.select("key", "hub", F.col("hub").alias("hub_label")))
-                active = stage(active.join(F.broadcast(hubs) if hubs.count() <= BROADCAST_ROWS else hubs, "key", "left_semi"))
+                hubs = active.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n")).where("hub < last")
+                hubs = stage(hubs.select("key", "hub", F.col("hub").alias("hub_label"), "n"))
+                keys = hubs.select("key")
+                active = stage(active.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "key", "left_semi"))
             else:
                 order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "label")
-                hubs = active.groupBy("key").agg(F.min(order).alias("hub"))
-                hubs = stage(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")))
-            active = stage(meet(active, hubs, ["key"]).where("node != hub"))
+                hubs = active.groupBy("key").agg(F.min(order).alias("hub"), F.count("*").alias("n"))
+                hubs = stage(hubs.select("key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"), "n"))
+            active = stage(meet(active, hubs, ["key"], "n").where("node != hub"))
             pairs = stage(active.where("label != hub_label").select("node", "hub").distinct())
             maybe = stage(_pruned(pairs, reps, marks, threshold, bands, rows))
             found = _verified(maybe, texts, marks, k, percent)
@@ -354,18 +355,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         if turn == HUB_ROUNDS:
             break
         active = stage(_labelled(active.select("key", "node"), labels))
-        open_ = stage(active.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key"))
+        open_ = stage(active.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n"))
         if open_.isEmpty():
             break
-        active = stage(meet(active, open_, ["key"]))
+        active = stage(meet(active, open_, ["key"], "n"))
 
     linked = stage(labels.join(marks, "node").select("node", "label", "doc_id"))
     least = stage(linked.groupBy("label").agg(F.min("doc_id").alias("reached")))
     reach = meet(linked, least, ["label"]).select("node", "reached")
-    reach = stage(classes.join(reach, "node", "left").select("h1", "h2", F.coalesce("reached", "doc_id").alias("reached")))
+    reach = stage(classes.join(reach, "node", "left").select("h1", "h2", "n", F.coalesce("reached", "doc_id").alias("reached")))
     own = all_rows.select("doc_id", "n_shingles", "h1", "h2")
     joins = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    out = meet(own.where(joins), reach, ["h1", "h2"]).select("doc_id", "n_shingles", F.col("reached").alias("component_id"))
+    out = meet(own.where(joins), reach, ["h1", "h2"], "n").select("doc_id", "n_shingles", F.col("reached").alias("component_id"))
     out = out.unionByName(own.where(~joins).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

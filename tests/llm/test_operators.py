@@ -205,28 +205,12 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert len({(r["doc_id"], r["component_id"]) for r in got if r["doc_id"] in (1, 6, 9)}) == 3
 
 
-def test_near_duplicates_with_hot_keys(spark, monkeypatch):
-    """The salted joins give what plain ones give."""
+def test_near_duplicates_in_one_large_family(spark, monkeypatch):
+    """Many copies around the threshold: hubs alone miss links that the blocks find; hot keys are salted."""
     from foliant.llm import common
     from foliant.llm.neardup import near_duplicates
 
-    monkeypatch.setattr(common, "HOT", 3)
-    rng = random.Random(8)
-    base = [[f"w{j}-{i}" for i in range(60)] for j in range(3)]
-    rows = []
-    for i in range(120):
-        w = list(base[i % 3])
-        for _ in range(rng.randint(0, 7)):
-            w[rng.randrange(60)] = f"x{rng.randrange(10_000)}"
-        rows.append((i, " ".join(w)))
-    rows += [(200 + i, rows[0][1]) for i in range(20)]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2).collect()}
-    assert got == groups(rows, 2)
-
-
-def test_near_duplicates_in_one_large_family(spark):
-    """Many copies around the threshold: hubs alone miss links that the blocks find."""
-    from foliant.llm.neardup import near_duplicates
+    monkeypatch.setattr(common, "HOT", 20)
 
     rng = random.Random(8)
     base = [f"w{i}" for i in range(60)]
@@ -484,6 +468,16 @@ def test_language_model(docs, empty, rows):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in scores(docs.limit(5), F.lit(True)).collect())
 
 
+def test_language_model_scores_do_not_depend_on_partitions(spark, sf_dir):
+    from foliant.llm.lm import scores
+
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    one, two = ({r["doc_id"]: (r["score"], r["base_score"], r["n_tokens"], r["held_out"]) for r in scores(x, F.crc32(F.col("doc_id").cast("string")) % 5 == 1).collect()} for x in (d, d.repartition(3)))
+    assert one.keys() == two.keys() and max(abs(one[k][0] - two[k][0]) / max(1, abs(one[k][0])) for k in one) < 1e-6
+    held = [v for v in one.values() if v[3]]
+    assert sum(v[0] for v in held) > sum(v[1] for v in held)
+
+
 def test_class_probabilities_sum_to_one():
     from foliant.llm.lm import WIDTH, Scorer
 
