@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import only, stage, without
+from foliant.llm.common import meet, only, stage, without
 
 WINDOW = 5
 CONTAINMENT = 0.5
@@ -23,6 +23,8 @@ UNITS = (
     "percent % usd eur gbp dollar dollars euro euros pound pounds cent cents degree degrees c f k w kw mw v a hz khz mhz ghz "
     "b kb mb gb tb mph kmh"
 ).split()
+#: Placeholders that stand for a value.
+SLOTS = ("<num>", "<unit>", "<name>")
 TRIM = " \t.,;:!?\"'()[]{}<>*#$%&+=_~`|/\\-"
 
 
@@ -77,37 +79,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containme
     d = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), _tokens(F.col("text").cast("string")).alias("raw"))
     items = items.where(F.size("raw") > 0).withColumn("words", template(F.col("raw")))
-    seeds = stage(items.select("item_id", "raw", "words", F.posexplode(_keys("words", window)).alias("ipos", "key")))
+    seeds = items.select("item_id", "raw", "words", F.posexplode(_keys("words", window)).alias("ipos", "key"))
+    seeds = stage(seeds.select("item_id", "ipos", "key", _cut("words", "ipos", window).alias("kinds"), _cut("raw", "ipos", window).alias("asked")))
     keys = stage(seeds.select("key").distinct())
     sizes = seeds.groupBy("item_id").agg(F.count_distinct("key").alias("windows"))
 
-    made = d.select("doc_id", _tokens(F.col("text")).alias("raw")).select("doc_id", template(F.col("raw")).alias("words"))
-    hits = made.select("doc_id", F.posexplode(_keys("words", window)).alias("dpos", "key")).join(keys, "key", "left_semi")
+    d = d.select("doc_id", F.xxhash64("text").alias("version"), "text")  # rows of one doc_id can have several texts
+    made = d.select("doc_id", "version", _tokens(F.col("text")).alias("raw")).select("doc_id", "version", template(F.col("raw")).alias("words"))
+    hits = made.select("doc_id", "version", F.posexplode(_keys("words", window)).alias("dpos", "key")).join(keys, "key", "left_semi")
     hits = stage(hits)
-    pairs = hits.join(seeds.select("key", "item_id", "ipos"), "key")
-    enough = pairs.groupBy("doc_id", "item_id").agg(F.count_distinct("key").alias("n")).join(sizes, "item_id")
+    # Each window counts once for a document and once for an item, so a common window isn't multiplied by its places; a
+    # window that many documents hold is dealt over several tasks.
+    held = stage(hits.select("doc_id", "key").distinct())
+    of = stage(seeds.groupBy("key").agg(F.collect_set("item_id").alias("items")))  # bounded by the benchmark
+    pairs = meet(held, of, ["key"]).select("doc_id", F.explode("items").alias("item_id"))
+    enough = pairs.groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).join(sizes, "item_id")
     enough = stage(enough.where(F.col("n") >= containment * F.col("windows")).select("doc_id", "item_id", "windows"))
 
-    # Slot check, on candidate documents only: raw words of both sides at the placeholders of matching windows.
+    # Slot check, on candidates only. The words of a window are cut out where they meet it; no text goes on with them.
     some = only(d, stage(enough.select("doc_id").distinct()), "doc_id")
-    raws = some.select("doc_id", _tokens(F.col("text")).alias("draw"))
-    near = pairs.join(enough, ["doc_id", "item_id"]).select("doc_id", "item_id", "windows", "key", "ipos", "dpos", (F.col("dpos") - F.col("ipos")).alias("shift"))
-    near = near.join(seeds.select("item_id", "ipos", "raw", "words").distinct(), ["item_id", "ipos"]).join(raws, "doc_id")
-    slot = near.select(
-        "doc_id", "item_id", "shift",
-        F.explode(F.sequence(F.lit(1), F.least(F.lit(window), F.size("words")))).alias("j"), "ipos", "dpos", "raw", "words", "draw",
-    )
-    slot = slot.select(
-        "doc_id", "item_id", "shift",
-        F.try_element_at("words", (F.col("ipos") + F.col("j")).cast("int")).alias("kind"),
-        F.btrim(F.lower(F.try_element_at("raw", (F.col("ipos") + F.col("j")).cast("int"))), F.lit(TRIM)).alias("asked"),
-        F.btrim(F.lower(F.try_element_at("draw", (F.col("dpos") + F.col("j")).cast("int"))), F.lit(TRIM)).alias("found"),
-    )
-    slot = slot.where(F.col("kind").isin("<num>", "<unit>", "<name>")).distinct()
-    to = slot.groupBy("doc_id", "item_id", "shift", "kind", "asked").agg(F.count("*").alias("c"))
-    fro = slot.groupBy("doc_id", "item_id", "shift", "kind", "found").agg(F.count("*").alias("c"))
-    broken = to.where("c > 1").select("doc_id", "item_id", "shift").unionByName(fro.where("c > 1").select("doc_id", "item_id", "shift")).distinct()
-    good = near.join(broken.withColumn("bad", F.lit(True)), ["doc_id", "item_id", "shift"], "left")
+    raws = some.dropDuplicates(["doc_id", "version"]).select("doc_id", "version", _tokens(F.col("text")).alias("draw"))
+    near = hits.join(enough, "doc_id").join(seeds, ["item_id", "key"])
+    near = stage(near.withColumn("shift", F.col("dpos") - F.col("ipos")))
+    slotted = near.where(F.exists("kinds", lambda x: x.isin(*SLOTS))).join(raws, ["doc_id", "version"])
+    at = ["doc_id", "version", "item_id", "shift"]
+    slot = slotted.select(*at, F.explode(F.arrays_zip("kinds", "asked", _cut("draw", "dpos", window).alias("found"))).alias("w"))
+    bare = lambda c: F.btrim(F.lower(c), F.lit(TRIM))
+    slot = slot.select(*at, F.col("w.kinds").alias("kind"), bare(F.col("w.asked")).alias("asked"), bare(F.col("w.found")).alias("found"))
+    slot = slot.where(F.col("kind").isin(*SLOTS)).distinct()
+    to = slot.groupBy(*at, "kind", "asked").agg(F.count("*").alias("c"))
+    fro = slot.groupBy(*at, "kind", "found").agg(F.count("*").alias("c"))
+    broken = to.where("c > 1").select(*at).unionByName(fro.where("c > 1").select(*at)).distinct()
+    good = near.join(broken.withColumn("bad", F.lit(True)), at, "left")
     out = good.groupBy("doc_id", "item_id", "windows").agg(
         F.count_distinct(F.when(F.col("bad").isNull(), F.col("key"))).alias("matched"),
         F.max(F.col("bad").isNull()).alias("consistent"),
@@ -115,6 +118,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containme
     return out.where(F.col("matched") >= containment * F.col("windows")).select("doc_id", "item_id", "matched", "windows", "consistent")
 
 
+def _cut(words: str, at: str, window: int):
+    """The words of the window that begins at this place, counted from 0."""
+    return F.slice(words, F.col(at) + 1, F.lit(window))
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containment: float = CONTAINMENT) -> DataFrame:
     """docs without the rows that hold a benchmark item; all columns are kept as they are."""
     return without(docs, leaks(docs, benchmark, window, containment), "doc_id")
