@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 
 #: How HTML treats these elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style title template noscript svg math iframe object select textarea button canvas audio video map head".split())
+DROPPED = frozenset("script style title template iframe noembed noframes select textarea button head".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    ("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtext mspace mstyle mpadded mphantom mfenced menclose semantics annotation "
+    "svg g path circle rect line polyline polygon ellipse tspan use defs object canvas audio video map noscript").split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -21,8 +25,7 @@ CLOSES_P = frozenset(
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 TAG = re.compile(r"<(?:!--|([/!?]?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|[!?/][^>]*>)")
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 
@@ -39,8 +42,8 @@ class Block:
 def blocks(page: str | None) -> list[Block]:
     """Text runs between block-level boundaries, in page order. Malformed markup is read the way browsers mend it.
 
-    Character references are decoded, white space becomes one space; script, style, form controls and hidden elements
-    give no text. Null or empty pages have no blocks.
+    Character references are decoded, white space becomes one space; scripts, styles, form controls and frames give no
+    text. Hidden elements are blocks like others, with `hidden` among their names. Null or empty pages have no blocks.
     """
     out: list[Block] = []
     if not page:
@@ -98,9 +101,8 @@ def blocks(page: str | None) -> list[Block]:
                         break
             continue
         given = m[3]
-        if tag in DROPPED or (given and tag not in VOID and HIDDEN.search(given)):
-            if tag not in INLINE:
-                flush()
+        if tag in DROPPED:
+            flush()
             if not given.endswith("/"):
                 at = _end_of(page, tag, at)
             continue
@@ -131,14 +133,25 @@ def blocks(page: str | None) -> list[Block]:
                     break
         if given.endswith("/") and tag not in CLOSES_P:
             continue
-        names = tuple(w.lower() for x in NAMES.findall(given) for w in WORDS.findall(x[0] or x[1] or x[2])) if given else ()
-        stack.append((tag, names))
+        stack.append((tag, _names(given) if given else ()))
         if tag in ("article", "div", "section", "p", "li", "td"):
             state["a"] = 0
     flush()
     return out
 
 
+def _names(given: str) -> tuple[str, ...]:
+    """Words of an element's class, id and role, and `hidden` where an attribute of that meaning says so."""
+    out: list[str] = []
+    for key, *values in ATTRIBUTE.findall(given):
+        key, value = key.lower(), values[0] or values[1] or values[2]
+        if key in ("class", "id", "role"):
+            out += [w.lower() for w in WORDS.findall(value)]
+        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and "display:none" in SPACE.sub("", value.lower()):
+            out.append("hidden")
+    return tuple(out)
+
+
 def _end_of(page: str, tag: str, at: int) -> int:
     """Where the dropped element ends: nested ones of its kind are counted; without an end, head ends at body, others at the page's end."""
     if tag in ("script", "style", "title", "textarea"):
@@ -157,46 +170,66 @@ def _end_of(page: str, tag: str, at: int) -> int:
 PATH, NAMED, WORDED = 64, 96, 24
 NUMBERS = 12
 WIDTH = PATH + NAMED + WORDED + NUMBERS
+MEMORY = 200_000
 
 
 def _place(word: str, room: int, salt: int) -> tuple[int, float]:
     """Hashed place and sign of a word, the same in every process."""
-    h = 2166136261 ^ salt
-    for b in word.encode("utf-8", "replace")[:24]:
-        h = (h ^ b) * 16777619 & 0xFFFFFFFF
+    h = zlib.crc32(word.encode("utf-8", "replace"), salt)
     h ^= h >> 15
     return h % room, 1.0 if h >> 16 & 1 else -1.0
 
 
-def vectors(page: list[Block], memory: dict) -> np.ndarray:
-    """One row per block: hashed tag path, hashed class and id words, hashed text words, and numbers. memory keeps hashes."""
-
-    def place(word: str, room: int, salt: int) -> tuple[int, float]:
-        key = (word, salt)
-        if key not in memory:
-            if len(memory) > 200_000:
-                memory.clear()
-            memory[key] = _place(word, room, salt)
-        return memory[key]
-
-    x = np.zeros((len(page), WIDTH), dtype=np.float32)
-    n = len(page)
-    for i, b in enumerate(page):
-        row = x[i]
-        for d, t in enumerate(reversed(b.path[-10:])):
-            k, s = place(t, PATH, 1)
-            row[k] += s * (1.5 if d == 0 else 1.0)
-        for w in b.names[-24:]:
-            k, s = place(w, NAMED, 2)
-            row[PATH + k] += s
-        words = b.text[:400].lower().split()[:40]
-        for w in words[:12]:
-            k, s = place(w.strip(".,:;!?"), WORDED, 3)
-            row[PATH + NAMED + k] += 0.3 * s
-        size = len(b.text)
-        row[-NUMBERS:] = (
-            min(np.log1p(size) / 6, 2), b.linked / max(1, size), min(size / 400, 2), len(b.path) / 10, min(b.after, 6) / 6,
-            1.0 if b.path and b.path[-1] in ("h1", "h2", "h3") else 0.0, 1.0 if b.path and b.path[-1] == "p" else 0.0,
-            b.text.count(".") / max(1, len(words)), 1.0 if b.text[-1] in ".!?:\"" else 0.0, i / max(1, n), float("©" in b.text or "copyright" in b.text.lower()), float(i == 0),
-        )
-    return x
+def _around(b: Block) -> np.ndarray:
+    """Hashed tags and names of a block's elements; nearer tags weigh more, so a deep path stays bounded."""
+    row = np.zeros(PATH + NAMED, dtype=np.float32)
+    for d, t in enumerate(reversed(b.path)):
+        k, s = _place(t, PATH, 1)
+        row[k] += s * (1.5 if d == 0 else 0.9**d)
+    for w, n in Counter(b.names).items():
+        k, s = _place(w, NAMED, 2)
+        row[PATH + k] += s * min(n, 3)
+    return row
+
+
+class Features:
+    """Feature rows of blocks; places of words and paths are remembered up to MEMORY of each."""
+
+    def __init__(self) -> None:
+        self.paths: dict[tuple, np.ndarray] = {}
+        self.words: dict[str, int] = {}
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Hashed words of the whole block, as their mean over the square root of their number."""
+        known, places = self.words, []
+        for w in words:
+            at = known.get(w)
+            if at is None:
+                k, s = _place(w.strip(".,:;!?"), WORDED, 3)
+                at = known[w] = k if s > 0 else k + WORDED
+            places.append(at)
+        n = np.bincount(places, minlength=2 * WORDED)
+        return (n[:WORDED] - n[WORDED:]) / np.sqrt(max(1, len(words)))
+
+    def rows(self, page: list[Block]) -> np.ndarray:
+        """One row per block: hashed tag path, hashed class and id words, hashed words of its text, and numbers."""
+        if len(self.paths) > MEMORY:
+            self.paths.clear()
+        if len(self.words) > MEMORY:
+            self.words.clear()
+        x = np.zeros((len(page), WIDTH), dtype=np.float32)
+        n = len(page)
+        for i, b in enumerate(page):
+            row, key = x[i], (b.path, b.names)
+            if (around := self.paths.get(key)) is None:
+                around = self.paths[key] = _around(b)
+            row[: PATH + NAMED] = around
+            words = b.text.lower().split()
+            row[PATH + NAMED : -NUMBERS] = self._words(words)
+            size = len(b.text)
+            row[-NUMBERS:] = (
+                min(np.log1p(size) / 6, 2), b.linked / max(1, size), min(size / 400, 2), min(len(b.path), 30) / 10, min(b.after, 6) / 6,
+                1.0 if b.path and b.path[-1] in ("h1", "h2", "h3") else 0.0, 1.0 if b.path and b.path[-1] == "p" else 0.0,
+                b.text.count(".") / max(1, len(words)), 1.0 if b.text[-1] in ".!?:\"" else 0.0, i / max(1, n), float("©" in b.text or "copyright" in b.text.lower()), float(i == 0),
+            )
+        return x

@@ -9,13 +9,14 @@ around articles of many shapes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.html_blocks import WIDTH, blocks, vectors
+from foliant.llm.html_blocks import WIDTH, Features, blocks
 
 HIDDEN = 20
 PAGES = 900
@@ -52,10 +53,13 @@ def invent(rng: np.random.Generator) -> list[tuple[str, int | None]]:
     def box(tag: str, names: str, fill, plain: str = "div") -> None:
         use = tag if semantic and rng.random() < 0.8 else plain
         attr = f' {pick("class", "id")}="{names}"' if use == plain or rng.random() < 0.5 else ""
-        put(f"<{use}{attr}>")
+        put(f"<{use}{attr}{hidden(0.05)}>")
         fill()
         put(f"</{use}>")
 
+    def hidden(share: float) -> str:
+        return pick(" hidden", " style='display: none'", " aria-hidden=true") if rng.random() < share else ""
+
     def links(n: int, block: str = "li") -> None:
         listed = block == "li"
         if listed:
@@ -93,7 +97,7 @@ def invent(rng: np.random.Generator) -> list[tuple[str, int | None]]:
 
     def notice() -> None:
         kind = pick("cookie-notice", "cookie", "notice", "consent", "alert", "gdpr-banner", "paywall", "popup", "modal")
-        put(f'<div {pick("class", "id")}="{kind}">')
+        put(f'<div {pick("class", "id")}="{kind}"{hidden(0.3)}>')
         put("<p>", some(5, 40))
         put("</p>")
         if rng.random() < 0.5:
@@ -187,6 +191,9 @@ def invent(rng: np.random.Generator) -> list[tuple[str, int | None]]:
             elif kind < 0.95:
                 put("<div>", some(5, 60), 1)
                 put("</div>")
+            elif kind < 0.955:
+                put(f"<p{hidden(0.5)}><math><mi>", some(1, 3), 1)
+                put("</mi></math></p>")
             elif kind < 0.975:
                 advert()
             else:
@@ -208,7 +215,7 @@ def invent(rng: np.random.Generator) -> list[tuple[str, int | None]]:
     if around:
         put(f'<{pick("main", "div id=main", "div class=row")}>')
     if semantic and rng.random() < 0.85:
-        put(f'<article{pick("", "", " class=post", " class=entry")}>')
+        put(f'<article{pick("", "", " class=post", " class=entry", " class=\'post hidden md:block\'")}{hidden(0.04)}>')
         end = "</article>"
     else:
         put(f'<{(t := pick("div", "div", "section", "main"))} {pick("class", "id")}="{pick("content", "article", "post", "entry-content", "main", "story", "article-body", "post-content", "text", "main-content", "body")}">')
@@ -328,11 +335,12 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
+@cache
 def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11, hidden: int = HIDDEN) -> dict[str, np.ndarray]:
-    """Adam on cross-entropy over invented pages; the same weights for the same arguments."""
+    """Adam on cross-entropy over invented pages; the same weights for the same arguments, made once per process."""
     rng = np.random.default_rng(seed)
-    memory: dict = {}
-    data = [(vectors(b, memory), y) for b, y in (labelled(rng) for _ in range(pages)) if len(b)]
+    features = Features()
+    data = [(features.rows(b), y) for b, y in (labelled(rng) for _ in range(pages)) if len(b)]
     data.sort(key=lambda d: len(d[1]))
     p = start(rng, hidden)
     m1, m2 = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
@@ -368,7 +376,7 @@ def train(pages: int = PAGES, epochs: int = EPOCHS, seed: int = 11, hidden: int
 # The operator
 
 
-def main_texts(p: dict[str, np.ndarray], pages: list[str | None], memory: dict) -> list[str]:
+def main_texts(p: dict[str, np.ndarray], pages: list[str | None], features: Features) -> list[str]:
     """Main text of each page, its blocks joined by newlines; pages of like length share a batch."""
     found = [blocks(h) for h in pages]
     out = [""] * len(pages)
@@ -377,7 +385,7 @@ def main_texts(p: dict[str, np.ndarray], pages: list[str | None], memory: dict)
         longest = len(found[order[-1]])
         take = max(1, min(BATCH, 40_000 // longest))
         part, order = order[-take:], order[:-take]
-        x, mask = padded([vectors(found[i], memory) for i in part])
+        x, mask = padded([features.rows(found[i]) for i in part])
         keep = logits(p, x, mask) > 0
         for k, i in enumerate(part):
             out[i] = "\n".join(b.text for b, ok in zip(found[i], keep[:, k], strict=False) if ok)
@@ -395,11 +403,11 @@ def extract(pages: DataFrame, weights: dict[str, np.ndarray] | None = None, body
     rows = pages.select(*own, pages[body].cast("string").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict = {}
+        features = Features()
         for batch in batches:
             for at in range(0, batch.num_rows, 400):
                 part = batch.slice(at, 400)
-                texts = main_texts(p, part.column(part.num_columns - 1).to_pylist(), memory)
+                texts = main_texts(p, part.column(part.num_columns - 1).to_pylist(), features)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*own, "text", "n_chars"]
                 )
