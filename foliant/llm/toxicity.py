@@ -7,8 +7,9 @@ k(word, landmark) is the inner product over the landmark's own, at most 1.
 A document's value for a landmark is the largest over its words, whatever its length; the vector over all landmarks,
 whitened with the landmarks' own kernel matrix (Nyström), goes to the machine.
 
-Training takes a bounded sample: at most `per_class` labelled rows of each class (TRAIN_PER_CLASS) of at most
-TRAIN_CHARS characters, chosen by hash. Scoring reads every whole text.
+Training takes a bounded sample: at most `per_class` labelled documents of each class (TRAIN_PER_CLASS) of at most
+TRAIN_CHARS characters, chosen by hash: the first of twice as many ids whose text isn't longer. Scoring reads every whole
+text.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ class Kernel:
         out: dict[str, np.ndarray] = {}
         by_size: dict[int, list[str]] = {}
         for w in words:
-            if len(p := plain(w)) >= 5:
+            if p := plain(w):
                 by_size.setdefault(min((len(p) + 3) // 4, 8), []).append((w, p))
         for group in by_size.values():
             for at in range(0, len(group), 8192):
@@ -177,14 +178,12 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int) ->
     seen = {p for words in clean for w in words if (p := plain(w))}
 
     def parts(w: str, common: set[str] | None) -> set[str]:
-        """Strings of a word: those of four letters, or longer ones too whose ends are common ones of four."""
-        if len(w) > 40:
-            return set()
+        """Strings of a word: those of four letters, or those of up to twelve whose ends are common ones of four."""
         fours = [w[i : i + 4] for i in range(len(w) - 3)]
         if common is None:
             return set(fours)
-        at = [i for i, x in enumerate(fours) if x in common]
-        return {w[i : j + 4] for i in at for j in at if i <= j <= i + 8}
+        held = [x in common for x in fours]
+        return {w[i : j + 4] for i, x in enumerate(held) if x for j in range(i, min(i + 9, len(held))) if held[j]}
 
     def row(words: set[str], common: set[str] | None) -> set[str]:
         return set().union(*(parts(p, common) for w in words if (p := plain(w)) not in seen), set())
@@ -293,7 +292,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS)
     kinds |= dict.fromkeys(some(1), 1)
     wanted = spark.createDataFrame(list(kinds.items()), "doc_id long, toxic int").withColumn("o", F.xxhash64("doc_id"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.length("text") <= TRAIN_CHARS)
-    found = sorted(rows.join(F.broadcast(wanted), "doc_id").select("o", "text", "toxic").collect())
+    # One text per id, however often a table repeats it.
+    found = rows.join(F.broadcast(wanted), "doc_id").groupBy("o", "doc_id", "toxic").agg(F.min("text").alias("text"))
+    found = sorted(found.select("o", "text", "toxic").collect())
     texts: list[str] = []
     given: list[int] = []
     for kind in (1, 0):
