@@ -154,6 +154,7 @@ def test_decontamination(spark, empty):
         (2, "Intro words. Carol bought 15 kg of apples for 44 dollars and sold 99 kg of pears to Dan Stone."),  # 12 -> 15 and 99
         (3, "xx THE CAT sat on the mat while rain fell on the old roof!! yy"),
         (4, "the cat sat on a chair while snow fell"), (5, None), (6, ""), (7, "tiny item"), (8, "a tiny item here"), (None, items[1][1]), (9, items[1][1]), (9, items[1][1]),
+        (9, "other text that 7 people wrote in 1999 for Bob and is longer than the item by some words so that places differ"),
     ]
     d = spark.createDataFrame(texts, "doc_id long, text string").withColumns({"item_id": F.lit("x"), "key": F.lit(1), "windows": F.lit(2)})
     got = {(r["doc_id"], r["item_id"]) for r in leaks(d, b).collect()}
@@ -320,6 +321,57 @@ def test_chat_keeps_arguments_and_tools(spark):
     assert json.loads(got[2, 0]["message"])["tools"] == tools and got[2, 0]["valid"]
 
 
+def test_chat_against_brute_force(spark):
+    """Generated conversations: both call forms, odd arguments, lost and repeated ids, calls that name other calls, cycles."""
+    import json
+
+    from foliant.llm.chat import format_chat
+
+    rng = random.Random(21)
+    rows, want, needs = [], {}, {}
+    for conv in range(60):
+        ids = [f"id{conv}-{i}" for i in range(rng.randint(0, 5))]
+        named = {c: rng.choice(ids) if rng.random() < 0.5 else None for c in ids}
+        messages: list[tuple] = [("user", "plain {text", None)]
+        for c in ids:
+            arguments = {"x": rng.randrange(9), "from": rng.choice(["%s", "$%s", "${%s}", "{{%s}}"]) % named[c] if named[c] else "none", "a": None}
+            call = {"id": c, "name": "f", "arguments": arguments, "index": 0}
+            if rng.random() < 0.5:
+                call = {"type": "function", "id": c, "function": {"name": "f", "arguments": json.dumps(arguments)}}
+            content = rng.choice([None, "hm", ""])
+            out = {"id": c, "name": "f", "arguments": arguments} | {k: call[k] for k in ("index", "type") if k in call}
+            messages.append(("assistant", json.dumps({"tool_calls": [call], "content": content, "mood": [1, {"b": 2, "a": 1}]}), (c, {"content": content, "role": "assistant", "tool_calls": [out], "mood": [1, {"a": 1, "b": 2}]})))
+            if rng.random() < 0.9:
+                messages.append(("tool", json.dumps({"tool_call_id": c, "content": "ok", "took": 3}), (c, {"content": "ok", "role": "tool", "tool_call_id": c, "took": 3})))
+        rng.shuffle(messages)
+        calls = {m[2][0]: t for t, m in enumerate(messages) if m[0] == "assistant"}
+        results = {m[2][0]: t for t, m in enumerate(messages) if m[0] == "tool"}
+        for t, (role, text, made) in enumerate(messages):
+            rows.append((conv, t, role, text))
+            want[conv, t] = made[1] if made else {"content": text, "role": role}
+        needs[conv] = {(calls[c], results[c]) for c in results} | {(results.get(named[c], calls[named[c]]), calls[c]) for c in ids if named[c]}
+        needs[conv] = {(a, b) for a, b in needs[conv] if a != b}
+    got = format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == len(rows)
+    place = {}
+    for r in got:
+        key = r["conv_id"], r["turn"]
+        assert r["message"] == json.dumps(want[key], sort_keys=True, separators=(",", ":"))
+        place[key] = (r["order_turn"], r["order_step"], r["turn"]), r["valid"]
+    for conv, edges in needs.items():
+        reach = {a: {b for x, b in edges if x == a} for a, _ in edges}
+        for _ in range(12):
+            reach = {a: bs.union(*(reach.get(b, set()) for b in bs)) for a, bs in reach.items()}
+        cyclic = {a for a, bs in reach.items() if a in bs}
+        behind = cyclic.union(*(reach[a] for a in cyclic), set())
+        for a, b in edges:
+            if b not in behind:
+                assert place[conv, a][0] < place[conv, b][0]
+        assert all(not place[conv, a][1] for a in cyclic)
+        if not any(a > b for a, b in edges):
+            assert all(place[conv, t][0] == (t, 0, t) for c, t in place if c == conv)
+
+
 # 6
 
 
@@ -327,27 +379,33 @@ def test_blocks_of_broken_markup():
     from foliant.llm.html_blocks import blocks
 
     page = "<head><title>T</title></head><body><nav><a href=x>Go</a></nav><p>One <b>two<br>three &amp; &eacute;<p>Four<!-- <p>no</p> --><script>var a='<p>x</p>'</script><ul><li>a<li>b</ul><p hidden>h</p><textarea>t</textarea>end"
-    assert [b.text for b in blocks(page)] == ["Go", "One two three & é", "Four", "a", "b", "end"]
+    assert [b.text for b in blocks(page)] == ["Go", "One two three & é", "Four", "a", "b", "h", "end"]
     assert blocks("") == [] and blocks(None) == [] and [b.text for b in blocks("plain  text")] == ["plain text"]
     assert [b.text for b in blocks("<p>a <b c='x>y'>b</b> < c")] == ["a b < c"]
 
 
 def test_extraction_of_held_out_layouts(spark):
-    from foliant.llm.html_blocks import vectors
+    from foliant.llm.html_blocks import Features
     from foliant.llm.html_extract import extract, labelled, logits, padded, train
 
     p = train()
-    rng, memory, right, total = np.random.default_rng(12345), {}, 0, 0
+    rng, features, right, total = np.random.default_rng(12345), Features(), 0, 0
     for _ in range(150):
         b, y = labelled(rng)
         if b:
-            x, mask = padded([vectors(b, memory)])
+            x, mask = padded([features.rows(b)])
             right += int(((logits(p, x, mask)[:, 0] > 0) == (y > 0)).sum())
             total += len(y)
     assert right / total > 0.985
     page = "<html><body><nav><ul><li><a href='/a'>Home</a></li></ul></nav><div class='ad'>Buy now</div><article><h1>Head line</h1><p>First paragraph of text, long enough to be one.</p><p>Second &amp; last paragraph of the text.</p></article><section class='comments'><div class='comment'><p>Nice post, thanks.</p></div></section><footer>&copy; us</footer></body></html>"
     d = spark.createDataFrame([(1, "u", page, "x"), (2, "u", None, "x"), (3, None, "", "x"), (1, "u", page, "x")], "page_id long, url string, html string, text string")
     got = extract(d, p).orderBy("page_id").collect()
+    odd = [
+        page.replace("<p>First", "<p title='the hidden story of x'>First"), page.replace("<article>", "<article class='post hidden md:block'>"),
+        page.replace("First paragraph", "<math><mi>First</mi></math> <noscript>paragraph</noscript>"), page.replace("<p>First", "<p data-state=hidden>First"),
+    ]
+    for r in extract(spark.createDataFrame([(i, x) for i, x in enumerate(odd)], "page_id long, html string"), p).collect():
+        assert r["text"] == "Head line\nFirst paragraph of text, long enough to be one.\nSecond & last paragraph of the text."
     assert [r["text"] for r in got] == ["Head line\nFirst paragraph of text, long enough to be one.\nSecond & last paragraph of the text."] * 2 + ["", ""]
     assert [r["n_chars"] for r in got] == [len(r["text"]) for r in got] and extract(d.limit(0), p).count() == 0
 
