@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (one machine) a folder of our own, removed at exit."""
+    """spark.checkpoint.dir of the session. Where it is unset, a local master (one machine) gets a folder of its own,
+    removed at exit; a cluster gets an error, since its executors can't see each other's local folders."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master or 'the cluster'} share")
         folder = tempfile.mkdtemp(prefix="foliant-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -23,12 +27,37 @@ def shared_dir(spark: SparkSession) -> str:
 
 #: While a table is staged, rows go to Python in batches of at most so many rows and bytes.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_made: list[str] = []
+
+
+def folder_of(spark: SparkSession, prefix: str) -> str:
+    """A new path in the shared folder, removed when the application ends, or by release()."""
+    path = os.path.join(shared_dir(spark), f"{prefix}-{uuid.uuid4().hex}")
+    files, at = _files(spark, path)
+    files.deleteOnExit(at)
+    _made.append(path)
+    return path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables, by default all of this process: for long runs, once the results made from them are written."""
+    for path in paths or tuple(_made):
+        files, at = _files(spark, path)
+        files.delete(at, True)
+        files.cancelDeleteOnExit(at)
+        if path in _made:
+            _made.remove(path)
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write df once as Parquet and return its reader: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"stage-{uuid.uuid4().hex}")
+    path = folder_of(spark, "stage")
     before = {k: spark.conf.get(k) for k in BATCH}
     try:
         for k, v in BATCH.items():
