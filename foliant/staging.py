@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,44 +15,43 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session. Where it is unset, a local master (one machine) gets a folder of its own,
     removed at exit; a cluster gets an error, since its executors can't see each other's local folders."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if not folder:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master or 'the cluster'} share")
-        folder = tempfile.mkdtemp(prefix="foliant-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        folder = _own[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="foliant-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Folders made on one machine, by application.
+_own: dict[str, str] = {}
 #: While a table is staged, rows go to Python in batches of at most so many rows and bytes.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
-_made: list[str] = []
+#: Staged paths with their file system and Hadoop path.
+_made: dict[str, tuple] = {}
 
 
 def folder_of(spark: SparkSession, prefix: str) -> str:
-    """A new path in the shared folder, removed when the application ends, or by release()."""
+    """A new path in the shared folder, removed when the driver's process ends, or by release()."""
     path = os.path.join(shared_dir(spark), f"{prefix}-{uuid.uuid4().hex}")
-    files, at = _files(spark, path)
-    files.deleteOnExit(at)
-    _made.append(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not _made:
+        atexit.unregister(release)
+        atexit.register(release)
+    _made[path] = at.getFileSystem(spark._jsc.hadoopConfiguration()), at
     return path
 
 
-def release(spark: SparkSession, *paths: str) -> None:
+def release(*paths: str) -> None:
     """Remove staged tables, by default all of this process: for long runs, once the results made from them are written."""
     for path in paths or tuple(_made):
-        files, at = _files(spark, path)
-        files.delete(at, True)
-        files.cancelDeleteOnExit(at)
-        if path in _made:
-            _made.remove(path)
-
-
-def _files(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+        files, at = _made.pop(path)
+        try:
+            files.delete(at, True)
+        except Exception as e:  # the file system may be gone before this process
+            warnings.warn(f"{path} was not removed: {e}", stacklevel=2)
 
 
 def stage(df: DataFrame) -> DataFrame:
