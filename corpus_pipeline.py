@@ -6,18 +6,15 @@ written and read again. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from foliant.llm.common import shared_dir
 from foliant.llm.decontam import drop_leaks
 from foliant.llm.lines import drop_lines
 from foliant.llm.neardup import drop_near_duplicates
 from foliant.llm.packing import pack
 from foliant.llm.queries import tokenizer_path
 from foliant.llm.toxicity import drop_toxic
+from foliant.staging import folder_of, release
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents, each written as Parquet in the shared folder and read again; what a stage has read is removed then."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        path = os.path.join(shared_dir(spark), f"corpus-{uuid.uuid4().hex}", name.replace(" ", "-"))
+        path = folder_of(spark, "corpus-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release(*before)
+        before = [path]
     return docs

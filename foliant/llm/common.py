@@ -8,9 +8,9 @@ from types import ModuleType
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.staging import shared_dir, stage
+from foliant.staging import stage
 
-__all__ = ["components", "forget", "meet", "only", "process_memory", "shared_dir", "stage", "tidy", "without"]
+__all__ = ["components", "forget", "meet", "only", "process_memory", "stage", "tidy", "without"]
 
 
 def forget() -> None:
