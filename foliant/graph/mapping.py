@@ -56,23 +56,19 @@ def triples(tables: dict[str, DataFrame], rules: list[Rule], prefixes: dict[str,
         def text(c: str, have=have) -> Column:
             return F.nullif(F.col(c).cast("string"), F.lit("")) if c in have else F.lit(None).cast("string")
 
-        made = []
+        made, terms = [], []
         for r in (r for r in rules if r.source == source):
             holds = F.lit(True) if r.guard is None else (text(r.guard).isNotNull() if r.equals is None else F.coalesce(text(r.guard) == expand(r.equals, names), F.lit(False)))
             s = text(r.subject)
             for p, o, *kind in r.predicates:
                 value = text(o[1:-1]) if o.startswith("{") else F.lit(expand(o, names))
-                made.append(
-                    F.when(
-                        holds & s.isNotNull() & value.isNotNull(),
-                        F.struct(
-                            s.alias("s"), F.lit(expand(p, names)).alias("p"), value.alias("o"), F.lit("literal" if kind else "iri").alias("kind"),
-                            F.lit(expand(kind[0], names) if kind else None).cast("string").alias("datatype"),
-                        ),
-                    )
-                )
+                made.append(F.when(holds & s.isNotNull() & value.isNotNull(), F.struct(s.alias("s"), value.alias("o"), F.lit(len(terms)).alias("term"))))
+                terms.append((expand(p, names), "literal" if kind else "iri", expand(kind[0], names) if kind else None))
         if made:
-            part = df.select(F.inline(F.array_compact(F.array(*made))))
+            # A row's triples carry the number of their predicate; its words come in after the explode.
+            fixed = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(k).alias("kind"), F.lit(d).cast("string").alias("datatype")) for p, k, d in terms])
+            part = df.select(F.inline(F.array_compact(F.array(*made)))).select("s", F.get(fixed, F.col("term")).alias("t"), "o")
+            part = part.select("s", "t.p", "o", "t.kind", "t.datatype")
             out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no rule applies to the tables given")

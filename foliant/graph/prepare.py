@@ -9,6 +9,7 @@ from foliant.functions.iri import authority_iri, base_iri, clean_iri, fragment,
 from foliant.graph.mapping import PREFIXES, ROLE_TERMS, expand
 from foliant.nulls import fold, with_columns
 
+#: Names of the nodes and of the fields that the mapping rules read.
 ACTOR_NODES = {
     "actor_app_fullname": "app_fullname", "actor_app_firstname": "app_firstname", "actor_app_lastname": "app_lastname",
     "actor_gender_aa": "gender_aa", "actor_language_aa": "language_aa", "actor_profession_lo": "profession_lo",

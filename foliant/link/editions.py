@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.text import NAME_COMMON, author_similarity, title_similarity
+from foliant.functions.text import NAME_COMMON, author_key, folded_words, may_reach, similarity, title_similarity
 from foliant.nulls import col
+from foliant.operators.distinct import on_distinct
 
 YEARS = 2
 TITLE = 0.75
@@ -68,23 +69,33 @@ def bridge(editions: DataFrame, authors: DataFrame, known: DataFrame, others: Da
     """Candidates through an author matched before: editions(edition, title, year), authors(edition, actor),
     known(actor, other_actor), other_authors(other_id, other_actor), others(other_id, other_title, other_year)."""
     c = authors.join(known, "actor").join(other_authors, "other_actor").select("edition", "other_id").distinct()
-    c = c.join(editions, "edition").join(others, "other_id").where(F.abs(F.col("year") - F.col("other_year")) <= years)
-    c = c.withColumn("ts", title_similarity("title", "other_title")).where(F.col("ts") >= title)
-    return c.select("edition", "year", "other_id", "other_year", ((1 + F.col("ts")) / 2).alias("score"), F.lit("actor_bridge").alias("kind"))
+    c = c.join(editions.select("edition", "year"), "edition").join(others.select("other_id", "other_year"), "other_id").where(F.abs(F.col("year") - F.col("other_year")) <= years)
+    return _titled(c, editions, others, title).select("edition", "year", "other_id", "other_year", ((1 + F.col("ts")) / 2).alias("score"), F.lit("actor_bridge").alias("kind"))
+
+
+def _titled(pairs: DataFrame, editions: DataFrame, others: DataFrame, title: float) -> DataFrame:
+    """pairs with ts, the titles' similarity, where it is at least `title`. Titles are folded once each and met last."""
+    mine = editions.select("edition", folded_words("title").alias("words"))
+    theirs = others.select("other_id", folded_words("other_title").alias("other_words"))
+    return pairs.join(mine, "edition").join(theirs, "other_id").withColumn("ts", title_similarity("words", "other_words")).drop("words", "other_words").where(F.col("ts") >= title)
 
 
 def by_name_and_year(editions: DataFrame, names: DataFrame, others: DataFrame, other_names: DataFrame, years: int = YEARS, title: float = TITLE, author: float = AUTHOR) -> DataFrame:
     """Candidates that share a name word within the years: names(edition, name, tokens), other_names(other_id, other_name, other_tokens).
 
-    The year window is expanded on the smaller side into equal keys (year, word), so the range join is a hash join.
+    The year window is expanded on one side into equal keys (word, year), so the range join is a hash join of numbers
+    and words alone; names meet the distinct pairs of ids, and titles those whose names are alike. The best pair of
+    names counts. Ratios are worked out once per distinct pair of names, and only where their lengths allow `author`.
     """
-    left = editions.join(names, "edition").select("edition", "title", "year", "name", F.explode("tokens").alias("t"))
-    left = left.select("edition", "title", F.col("year"), "name", "t", F.explode(F.sequence(F.col("year") - years, F.col("year") + years)).alias("y"))
-    right = others.join(other_names, "other_id").select("other_id", "other_title", F.col("other_year"), F.col("other_year").alias("y"), "other_name", F.explode("other_tokens").alias("t"))
-    pairs = left.join(right, ["t", "y"]).select("edition", "title", "year", "name", "other_id", "other_title", "other_year", "other_name").distinct()
-    scored = pairs.withColumn("au", author_similarity("name", "other_name")).where(F.col("au") >= author)
-    best = scored.groupBy("edition", "title", "year", "other_id", "other_title", "other_year").agg(F.max("au").alias("au"))
-    best = best.withColumn("ts", title_similarity("title", "other_title")).where(F.col("ts") >= title)
+    left = editions.join(names, "edition").select("edition", "year", F.explode("tokens").alias("t")).distinct()
+    left = left.select("edition", "year", "t", F.explode(F.sequence(F.col("year") - years, F.col("year") + years)).alias("other_year"))
+    right = others.join(other_names, "other_id").select("other_id", "other_year", F.explode("other_tokens").alias("t")).distinct()
+    pairs = left.join(right, ["t", "other_year"]).select("edition", "year", "other_id", "other_year").distinct()
+    mine, theirs = names.select("edition", author_key("name").alias("a")), other_names.select("other_id", author_key("other_name").alias("b"))
+    named = pairs.join(mine, "edition").join(theirs, "other_id").where(may_reach("a", "b", author))
+    scored = on_distinct(named, ["a", "b"], {"au": similarity}).where(F.col("au") >= author)
+    best = scored.groupBy("edition", "year", "other_id", "other_year").agg(F.max("au").alias("au"))
+    best = _titled(best, editions, others, title)
     return best.select("edition", "year", "other_id", "other_year", ((F.col("au") + F.col("ts")) / 2).alias("score"), F.lit("heuristic").alias("kind"))
 
 

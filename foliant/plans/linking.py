@@ -99,9 +99,8 @@ def q_merge(spark, sf_dir):
 def q_edition_match(spark, sf_dir):
     """Documents against benchmark items by invented authors and years; no SQL has the ratios."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    title = F.array_join(F.slice(F.split("text", "\\s+"), 1, 8), " ")
-    mine = d.select(F.col("doc_id").alias("edition"), title.alias("title"), (1700 + F.col("doc_id") % 90).cast("int").alias("year"), (F.col("doc_id") % 4 != 0).alias("scope"))
-    other = b.select(F.col("item_id").alias("other_id"), title.alias("other_title"), (1700 + F.col("item_id") % 90).cast("int").alias("other_year"))
+    mine = d.select(F.col("doc_id").alias("edition"), F.col("text").alias("title"), (1700 + F.col("doc_id") % 90).cast("int").alias("year"), (F.col("doc_id") % 4 != 0).alias("scope"))
+    other = b.select(F.col("item_id").alias("other_id"), F.col("text").alias("other_title"), (1700 + F.col("item_id") % 90).cast("int").alias("other_year"))
     names = d.select(F.col("doc_id").alias("edition"), folded(F.concat(F.lit("Author Élie"), (F.col("doc_id") % 7).cast("string"))).alias("name"))
     names = names.withColumn("tokens", editions.name_tokens("name"))
     theirs = b.select(F.col("item_id").alias("other_id"), folded(F.concat(F.lit("Elie"), (F.col("item_id") % 7).cast("string"), F.lit(" author"))).alias("other_name"))
@@ -139,8 +138,8 @@ def q_authority_match(spark, sf_dir):
         s.alias("actor"), F.when(s % 4 == 0, s.cast("string")).alias("source_id"), F.when(s % 4 == 1, F.concat(F.lit("v"), s.cast("string"))).alias("linked_id"),
         F.concat(F.lit("Given Family"), s.cast("string")).alias("name"), (s % 50).cast("string").alias("name_token"),
     )
-    by_source = table(spark, sf_dir, "customer").where("c_custkey % 8 = 0").select(c.cast("string").alias("source_id"), F.concat(F.lit("v"), c.cast("string")).alias("authority_id"))
-    names = table(spark, sf_dir, "customer").where("c_custkey < 200").select((c % 50).cast("string").alias("name_token"), F.concat(F.lit("v"), c.cast("string")).alias("authority_id"), F.concat(F.lit("Family"), c.cast("string"), F.lit(", Given (1700)")).alias("heading"))
+    by_source = table(spark, sf_dir, "customer").select(F.when(c % 8 == 0, c.cast("string")).alias("source_id"), F.concat(F.lit("v"), c.cast("string")).alias("authority_id"))
+    names = table(spark, sf_dir, "customer").select((c % 50).cast("string").alias("name_token"), F.concat(F.lit("v"), c.cast("string")).alias("authority_id"), F.concat(F.lit("Family"), c.cast("string"), F.lit(", Given (1700)")).alias("heading"))
     return authorities.by_authority(mine, by_source, names)
 
 
@@ -230,7 +229,8 @@ def q_edition_authors(spark, sf_dir):
 
 @query("SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders")
 def q_canonical_remap(spark, sf_dir):
-    m = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("actor"), (F.col("c_custkey") + 1).alias("canonical_actor"))
+    k = F.col("c_custkey")
+    m = table(spark, sf_dir, "customer").select(k.alias("actor"), F.when(k % 10 == 0, k + 1).otherwise(k).alias("canonical_actor"))
     return tables.canonical(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_custkey", m)
 
 

@@ -76,13 +76,19 @@ def test_names(spark):
     assert [(g["harmonised"], g["correction_type"]) for g in got] == [r[1:] for r in rows]
 
 
-def test_text_keys_and_scores():
+def test_text_keys_and_scores(spark, values):
     assert text.canonical_text("Éditions  du-Cœur!") == "editions du cœur"
-    assert text.folded_text("Œuvres de Straße") == "oeuvres de strasse"
-    assert abs(text.ratio("abcd", "bcde") - 0.75) < 1e-9
-    assert text.title_score("Poems", "Poems on several occasions") < 0.75
-    assert text.title_score("The history of England", "The history of England, from the invasion of Caesar, in six volumes") > 0.8
-    assert text.title_score("Medea a tragedy", "Phaedra a tragedy") == 0.0
+    assert values(["Œuvres de Straße", None, "L'an_2, ½ ÆÞ!"], text.folded) == ["oeuvres de strasse", "", "l an_2 ½ aeþ"]
+    assert abs(text.ratio("abcd", "bcde") - 0.75) < 1e-9 and text.ratio("", "") == 0 == text.ratio(None, "a")
+    assert values(["Stone, Ann", "Ann Stone"], text.author_key) == ["ann stone"] * 2
+    pairs = [
+        ("Poems", "Poems on several occasions"), ("The history of England", "The history of England, from the invasion of Caesar, in six volumes"),
+        ("Medea a tragedy", "Phaedra a tragedy"), ("", ""), (None, "A play"), ("The end", "the END!"), ("1790", "1791"),
+    ]
+    d = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    d = d.select("i", text.folded_words("a").alias("a"), text.folded_words("b").alias("b"))
+    got = [r["s"] for r in d.select("i", text.title_similarity("a", "b").alias("s")).orderBy("i").collect()]
+    assert got[0] < 0.75 and got[1] > 0.8 and got[2:6] == [0.0, 0.0, 0.0, 1.0] and got[6] == 0.75
     assert text.ratio_at_most("ab", "abcdef") >= text.ratio("ab", "abcdef")
 
 
