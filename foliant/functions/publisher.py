@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from foliant.nulls import col, trim
+from foliant.nulls import col, let, trim
 
 #: Abbreviations and what they stand for.
 ABBREVIATIONS = {
@@ -38,18 +38,13 @@ SEVERAL = r"(?iU);|\s-\s|\bet\.?\b"
 CLUSTERED = ("passthrough", "abbreviation_expanded", "bracketed_uncertain", "location_stripped")
 
 
-def expanded_text(s: str | None) -> str | None:
-    """Abbreviations written out, the longest first; white space collapsed."""
-    if s is None:
-        return None
-    keys = "|".join(re.escape(k) for k in sorted(ABBREVIATIONS, key=len, reverse=True))
-    out = re.sub(rf"(?<!\w)(?:{keys})(?!\w)", lambda m: ABBREVIATIONS[m[0].lower()], s, flags=re.I)
-    return " ".join(out.split())
+#: Any abbreviation as a whole word, the longest first.
+ABBREVIATION = rf"(?<!\w)({'|'.join(re.escape(k) for k in sorted(ABBREVIATIONS, key=len, reverse=True))})(?!\w)"
 
 
-def has_abbreviation(s: str | None) -> bool:
-    keys = "|".join(re.escape(k) for k in sorted(ABBREVIATIONS, key=len, reverse=True))
-    return bool(re.search(rf"(?<!\w)(?:{keys})(?!\w)", s or "", flags=re.I))
+def expanded_text(s: str | None) -> str | None:
+    """Abbreviations written out, white space collapsed."""
+    return None if s is None else " ".join(re.sub(ABBREVIATION, lambda m: ABBREVIATIONS[m[0].lower()], s, flags=re.I).split())
 
 
 @F.pandas_udf(StringType())
@@ -58,37 +53,37 @@ def expanded(s: pd.Series) -> pd.Series:
     return s.map(expanded_text)
 
 
-def _any_abbreviation() -> str:
-    keys = "|".join(re.escape(k) for k in sorted(ABBREVIATIONS, key=len, reverse=True))
-    return rf"(?iuU)(?<!\w)({keys})(?!\w)"
-
-
-def statement(c: Column | str) -> dict[str, Column]:
-    """unwrapped, named (location removed), kind and confidence of a folded statement; harmonised is left to the caller.
+def statement(c: Column | str) -> Column:
+    """A struct of a folded statement: unwrapped, named (location removed), correction_type and confidence.
 
     The kind is settled in this order: missing, sine_nomine, self_published, multi_value, then location_stripped,
-    abbreviation_expanded, bracketed_uncertain, passthrough.
+    abbreviation_expanded, bracketed_uncertain, passthrough. Each step's value is computed once.
     """
-    c = col(c)
-    inner = F.regexp_extract(c, r"(?s)^\[(.+)\]\z", 1)
-    bracketed = inner != ""
-    plain = F.when(bracketed, trim(inner)).otherwise(c)
-    name, where = (trim(F.regexp_extract(plain, r"(?U)^(.+?)\s*\(([^()]+)\)\s*\z", i)) for i in (1, 2))
-    located = (name != "") & (where != "") & ~where.rlike(r"^\d{3,4}\.?(-\d{3,4}\.?)?\z")
-    named = F.when(located, name).otherwise(plain)
-    kind = (
-        F.when(c.isNull(), "missing")
-        .when(plain.rlike(NO_NAME), "sine_nomine")
-        .when(plain.rlike(AUTHOR), "self_published")
-        .when(plain.rlike(SEVERAL), "multi_value")
-        .when(located, "location_stripped")
-        .when(named.rlike(_any_abbreviation()), "abbreviation_expanded")
-        .when(bracketed, "bracketed_uncertain")
-        .otherwise("passthrough")
-    )
-    low = kind.isin("missing", "multi_value")
-    confidence = F.when(low, "low").when(kind == "bracketed_uncertain", "medium").otherwise("high")
-    return {"unwrapped": plain, "named": named, "correction_type": kind, "confidence": confidence}
+    inside = lambda x: F.struct(x.alias("c"), F.regexp_extract(x, r"(?s)^\[(.+)\]\z", 1).alias("inner"))
+    opened = lambda x: F.struct(x["c"].alias("c"), (x["inner"] != "").alias("bracketed"), F.when(x["inner"] != "", trim(x["inner"])).otherwise(x["c"]).alias("plain"))
+    part = lambda x, i: trim(F.regexp_extract(x["plain"], r"(?U)^(.+?)\s*\(([^()]+)\)\s*\z", i))
+    parted = lambda x: F.struct(x.alias("x"), part(x, 1).alias("name"), part(x, 2).alias("where"))
+    located = lambda y: (y["name"] != "") & (y["where"] != "") & ~y["where"].rlike(r"^\d{3,4}\.?(-\d{3,4}\.?)?\z")
+    settled = lambda y: F.struct(y["x"].alias("x"), located(y).alias("located"), F.when(located(y), y["name"]).otherwise(y["x"]["plain"]).alias("named"))
+
+    def judged(z: Column) -> Column:
+        plain = z["x"]["plain"]
+        kind = F.when(z["x"]["c"].isNull(), "missing")
+        for when, name in (
+            (plain.rlike(NO_NAME), "sine_nomine"), (plain.rlike(AUTHOR), "self_published"), (plain.rlike(SEVERAL), "multi_value"), (z["located"], "location_stripped"),
+            (z["named"].rlike("(?iuU)" + ABBREVIATION), "abbreviation_expanded"), (z["x"]["bracketed"], "bracketed_uncertain"),
+        ):
+            kind = kind.when(when, name)
+        return F.struct(plain.alias("unwrapped"), z["named"].alias("named"), kind.otherwise("passthrough").alias("correction_type"))
+
+    def trusted(w: Column) -> Column:
+        kind = w["correction_type"]
+        return w.withField("confidence", F.when(kind.isin("missing", "multi_value"), "low").when(kind == "bracketed_uncertain", "medium").otherwise("high"))
+
+    out = col(c)
+    for step in (inside, opened, parted, settled, judged, trusted):
+        out = let(out, step)
+    return out
 
 
 def harmonised(c: Column | str, kind: Column, named_expanded: Column) -> Column:

@@ -53,23 +53,28 @@ def triples(tables: dict[str, DataFrame], rules: list[Rule], prefixes: dict[str,
     for source, df in tables.items():
         have = set(df.columns)
 
-        def text(c: str, have=have) -> Column:
-            return F.nullif(F.col(c).cast("string"), F.lit("")) if c in have else F.lit(None).cast("string")
-
-        made, terms = [], []
-        for r in (r for r in rules if r.source == source):
-            holds = F.lit(True) if r.guard is None else (text(r.guard).isNotNull() if r.equals is None else F.coalesce(text(r.guard) == expand(r.equals, names), F.lit(False)))
-            s = text(r.subject)
-            for p, o, *kind in r.predicates:
-                value = text(o[1:-1]) if o.startswith("{") else F.lit(expand(o, names))
-                made.append(F.when(holds & s.isNotNull() & value.isNotNull(), F.struct(s.alias("s"), value.alias("o"), F.lit(len(terms)).alias("term"))))
-                terms.append((expand(p, names), "literal" if kind else "iri", expand(kind[0], names) if kind else None))
-        if made:
-            # A row's triples carry the number of their predicate; its words come in after the explode.
-            fixed = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(k).alias("kind"), F.lit(d).cast("string").alias("datatype")) for p, k, d in terms])
-            part = df.select(F.inline(F.array_compact(F.array(*made)))).select("s", F.get(fixed, F.col("term")).alias("t"), "o")
-            part = part.select("s", "t.p", "o", "t.kind", "t.datatype")
-            out = part if out is None else out.unionByName(part)
+        mine = [(r, p, o, kind) for r in rules if r.source == source for p, o, *kind in r.predicates]
+        if not mine:
+            continue
+        used = sorted({c for r, _, o, _ in mine for c in (r.subject, r.guard, o[1:-1] if o.startswith("{") else None) if c is not None})
+        place = {c: i for i, c in enumerate(used)}
+        value = [F.nullif(F.col(c).cast("string"), F.lit("")) if c in have else F.lit(None).cast("string") for c in used]
+        # The rules as a constant array that names columns by place: one small expression, however many rules there are.
+        rows = [
+            F.struct(
+                F.lit(place.get(r.guard)).cast("int").alias("guard"), F.lit(expand(r.equals, names) if r.equals else None).cast("string").alias("equals"),
+                F.lit(place[r.subject]).alias("s"), F.lit(place.get(o[1:-1])).cast("int").alias("column"), F.lit(None if o.startswith("{") else expand(o, names)).cast("string").alias("o"),
+                F.lit(expand(p, names)).alias("p"), F.lit("literal" if kind else "iri").alias("kind"), F.lit(expand(kind[0], names) if kind else None).cast("string").alias("datatype"),
+            )
+            for r, p, o, kind in mine
+        ]
+        v = F.col("_values")
+        made = F.transform(F.array(*rows), lambda r, i: F.struct(r.alias("r"), F.get(v, r["s"]).alias("s"), F.coalesce(r["o"], F.get(v, r["column"])).alias("o"), i.alias("rule")))
+        holds = lambda t: t["r"]["guard"].isNull() | F.coalesce(F.get(v, t["r"]["guard"]) == F.coalesce(t["r"]["equals"], F.get(v, t["r"]["guard"])), F.lit(False))
+        full = F.filter(made, lambda t: t["s"].isNotNull() & t["o"].isNotNull() & holds(t))
+        part = df.select(F.array(*value).alias("_values")).select(F.inline(F.transform(full, lambda t: F.struct(t["s"], t["o"], t["rule"]))))
+        part = part.select("s", F.get(F.array(*rows), F.col("rule")).alias("r"), "o").select("s", "r.p", "o", "r.kind", "r.datatype")
+        out = part if out is None else out.unionByName(part)
     if out is None:
         raise ValueError("no rule applies to the tables given")
     return out

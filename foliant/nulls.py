@@ -24,9 +24,13 @@ def let(c: Column, f) -> Column:
     return F.transform(F.array(c), f)[0]
 
 
+#: Unicode white space, and the separators that Python strips as well.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim(c: Column | str) -> Column:
     """Strip every kind of Unicode white space from both ends (SQL trim strips blanks only)."""
-    return F.regexp_replace(col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def fold(c: Column | str, profile: str = "base") -> Column:

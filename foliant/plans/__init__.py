@@ -22,8 +22,15 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A table; spread deals its rows evenly to all cores first, for work on rows that outweighs a shuffle of them.
+
+    A scan has at most as many tasks as its files have row groups, which for a small file may be one. From a size on that
+    gives every core a split of its own, the scan is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def every() -> tuple[dict, dict]:

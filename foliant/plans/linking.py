@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliant.evaluate import rules
+from foliant.functions.html import page_title
 from foliant.functions.names import plausible_name
 from foliant.functions.text import folded, group_name, token_set
 from foliant.link import actors, authorities, editions, tables
@@ -97,18 +98,18 @@ def q_merge(spark, sf_dir):
 
 @query()
 def q_edition_match(spark, sf_dir):
-    """Documents against benchmark items by invented authors and years; no SQL has the ratios."""
-    d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    mine = d.select(F.col("doc_id").alias("edition"), F.col("text").alias("title"), (1700 + F.col("doc_id") % 90).cast("int").alias("year"), (F.col("doc_id") % 4 != 0).alias("scope"))
-    other = b.select(F.col("item_id").alias("other_id"), F.col("text").alias("other_title"), (1700 + F.col("item_id") % 90).cast("int").alias("other_year"))
-    names = d.select(F.col("doc_id").alias("edition"), folded(F.concat(F.lit("Author Élie"), (F.col("doc_id") % 7).cast("string"))).alias("name"))
+    """Page titles against the same titles in capitals, by invented authors and years; no SQL has the ratios."""
+    k, d = F.col("page_id"), table(spark, sf_dir, "pages", spread=True).select("page_id", page_title("html").alias("title"))
+    mine = d.select(k.alias("edition"), "title", (1700 + k % 90).cast("int").alias("year"), (k % 4 != 0).alias("scope"))
+    other = d.select(k.alias("other_id"), F.upper("title").alias("other_title"), (1700 + k % 90 + k % 2).cast("int").alias("other_year"))
+    names = d.select(k.alias("edition"), folded(F.concat(F.lit("Author Élie"), (k % 7).cast("string"))).alias("name"))
     names = names.withColumn("tokens", editions.name_tokens("name"))
-    theirs = b.select(F.col("item_id").alias("other_id"), folded(F.concat(F.lit("Elie"), (F.col("item_id") % 7).cast("string"), F.lit(" author"))).alias("other_name"))
+    theirs = d.select(k.alias("other_id"), folded(F.concat(F.lit("Elie"), (k % 7).cast("string"), F.lit(" author"))).alias("other_name"))
     theirs = theirs.withColumn("other_tokens", editions.name_tokens("other_name"))
-    heuristic = editions.by_name_and_year(mine.select("edition", "title", "year"), names, other, theirs, title=0.4)
+    heuristic = editions.by_name_and_year(mine.select("edition", "title", "year"), names, other, theirs)
     bridge = editions.bridge(
-        mine.select("edition", "title", "year"), d.select(F.col("doc_id").alias("edition"), (F.col("doc_id") % 5).alias("actor")),
-        spark.range(5).select(F.col("id").alias("actor"), F.col("id").alias("other_actor")), other, b.select(F.col("item_id").alias("other_id"), (F.col("item_id") % 5).alias("other_actor")), title=0.5,
+        mine.select("edition", "title", "year"), d.select(k.alias("edition"), F.when(k % 2 == 0, k % 5).alias("actor")),
+        spark.range(5).select(F.col("id").alias("actor"), F.col("id").alias("other_actor")), other, d.select(k.alias("other_id"), (k % 5).alias("other_actor")),
     )
     return editions.cascade(mine, "scope", bridge, heuristic)
 

@@ -173,9 +173,8 @@ made AS (SELECT p_partkey, raw, CASE p_partkey % 8 WHEN 0 THEN 'sine_nomine' WHE
 
 @query(PUBLISHER_SQL + "SELECT p_partkey, raw, correction_type, harmonised, CASE WHEN correction_type = 'multi_value' THEN 'low' WHEN correction_type = 'bracketed_uncertain' THEN 'medium' ELSE 'high' END AS confidence FROM made")
 def q_publisher_classify(spark, sf_dir):
-    d = raw_publishers(spark, sf_dir)
-    s = publisher.statement("raw")
-    d = on_distinct(d.withColumns({"named": s["named"], "correction_type": s["correction_type"], "confidence": s["confidence"]}), ["named"], {"full": publisher.expanded})
+    d = raw_publishers(spark, sf_dir).withColumn("s", publisher.statement("raw")).select("p_partkey", "raw", "s.named", "s.correction_type", "s.confidence")
+    d = on_distinct(d, ["named"], {"full": publisher.expanded})
     return d.select("p_partkey", "raw", "correction_type", publisher.harmonised("raw", F.col("correction_type"), F.col("full")).alias("harmonised"), "confidence")
 
 
