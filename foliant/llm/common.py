@@ -62,10 +62,10 @@ def meet(many: DataFrame, one: DataFrame, on: list[str], times: str | None = Non
     counts = many.groupBy(*on).agg(F.count("*").alias("_n")) if times is None else one.select(*on, F.col(times).alias("_n"))
     one = one if times is None else one.drop(times)
     many_rows = counts.where(F.col("_n") > HOT)
+    if many_rows.isEmpty():
+        return many.join(one, on)
     hot = stage(many_rows.select(*on, F.ceil(F.col("_n") / HOT).cast("int").alias("_salts")))
     n = hot.count()
-    if not n:
-        return many.join(one, on)
     side = F.broadcast(hot) if n <= BROADCAST_ROWS else hot
     salts = F.coalesce("_salts", F.lit(1))
     left = many.join(side, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*many.columns), salts).cast("int")).drop("_salts")

@@ -151,7 +151,11 @@ def _rows_of(rows: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def _marks(marks: DataFrame, nodes: DataFrame) -> DataFrame:
-    return stage(only(marks.select("node", "doc_id", "version"), stage(nodes), "node"))
+    return stage(marks.select("node", "doc_id", "version").join(nodes, "node", "left_semi"))
+
+
+def _both_ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("node").unionByName(pairs.select(F.col("hub").alias("node"))).distinct()
 
 
 def _pruned(pairs: DataFrame, reps: DataFrame, marks: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame:
@@ -169,8 +173,8 @@ def _pruned(pairs: DataFrame, reps: DataFrame, marks: DataFrame, threshold: floa
                 alive, done = alive[agreed[alive] >= need], n
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in ("node", "hub")], ["node", "hub"])
 
-    mine, hubs = (_rows_of(reps, _marks(marks, pairs.select(F.col(c).alias("node")).distinct())) for c in ("node", "hub"))
-    hubs = stage(hubs.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig"), F.col("n_shingles").alias("hub_n")))
+    mine = _rows_of(reps, _marks(marks, _both_ends(pairs)))
+    hubs = mine.select(F.col("node").alias("hub"), F.col("sig").alias("hub_sig"), F.col("n_shingles").alias("hub_n"))
     both = meet(pairs, hubs, ["hub"]).join(mine, "node")
     fits = F.least("n_shingles", "hub_n") >= threshold * F.greatest("n_shingles", "hub_n") - 1e-9
     return both.where(fits).select("node", "hub", "sig", "hub_sig").mapInArrow(run, "node long, hub long")
@@ -201,8 +205,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, marks: DataFrame, k: int, perc
         kept.clear()
         tidy()
 
-    mine, hubs = (_rows_of(texts, _marks(marks, pairs.select(F.col(c).alias("node")).distinct())) for c in ("node", "hub"))
-    hubs = hubs.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
+    mine = _rows_of(texts, _marks(marks, _both_ends(pairs)))
+    hubs = mine.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
     both = meet(pairs, hubs, ["hub"]).join(mine, "node")
     return both.select("node", "hub", "text", "hub_text").mapInArrow(run, "a long, b long")
 
