@@ -64,6 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = folder_of(spark, "corpus-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-        release(*before)
+        if before:  # without paths, release would remove every staged table
+            release(*before)
         before = [path]
     return docs
