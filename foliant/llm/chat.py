@@ -210,10 +210,10 @@ def format_chat(turns: DataFrame) -> DataFrame:
     given = lambda c: F.coalesce(F.try_parse_json(c["arguments"]), _variant(c["arguments"]), F.try_parse_json(F.lit("{}")))
     calls = F.transform(
         "calls",
-        lambda c: _sorted(F.map_concat(F.coalesce(c["rest"], EMPTY), _parts(arguments=given(c), id=_variant(c["id"]), name=_variant(c["name"])))),
+        lambda c: _sorted(F.map_concat(F.coalesce(c["rest"], _empty()), _parts(arguments=given(c), id=_variant(c["id"]), name=_variant(c["name"])))),
     )
     plain = F.to_json(F.struct(F.col("content"), role.alias("role")))
-    parts = F.map_concat(F.coalesce("rest", EMPTY), _parts(content=_variant(F.col("content")), role=_variant(role)))
+    parts = F.map_concat(F.coalesce("rest", _empty()), _parts(content=_variant(F.col("content")), role=_variant(role)))
     parts = F.when(F.col("kind") == "result", F.map_concat(parts, _parts(tool_call_id=_variant(F.col("call_id"))))).when(
         F.col("kind") == "calls", F.map_concat(parts, _parts(tool_calls=F.try_parse_json(F.to_json(calls))))
     ).otherwise(parts)
@@ -231,7 +231,8 @@ def format_chat(turns: DataFrame) -> DataFrame:
     )
 
 
-EMPTY = F.expr("cast(map() AS map<string,variant>)")
+def _empty():
+    return F.expr("cast(map() AS map<string,variant>)")
 
 
 def _parts(**values):
