@@ -9,7 +9,7 @@ Training reads every training text once, in two rounds: the texts whose hash fal
 In a round the texts are dealt by hash to shards of about SHARD_TOKENS tokens, as many as the corpus asks for; each shard
 trains by minibatches in hash order from the round's common start, and the parameters are averaged, weighted by tokens.
 Texts, shards and their order follow from the rows alone, so scores don't depend on how the table is partitioned.
-Scoring normalises exactly: matrix products give all class scores of a context, their log-sum is kept.
+Scoring normalises exactly: one matrix product gives the sum over all classes for every context.
 """
 
 from __future__ import annotations
@@ -278,26 +278,25 @@ def _trained(texts: DataFrame, vocabulary: Vocabulary, p: np.ndarray, shards: in
 
 
 class Scorer:
-    """Normalised log10 probabilities of classes. Pairwise products are kept; context log-sums are filled in when needed."""
+    """Normalised log10 probabilities of classes.
+
+    The sum over all classes of exp(x + y), x of the nearer and y of the farther context class, is a product of two
+    matrices of exponentials, so one matrix product normalises every context. Rows are shifted by their maxima and kept
+    in double precision: scores of one context would have to lie some 700 apart to be lost.
+    """
 
     def __init__(self, p: np.ndarray, memory: dict):
-        self.p = p
         if memory.get("for") != (key := hash(p.tobytes())):
             memory.clear()
             q = p[:, 2 * WIDTH : 3 * WIDTH].T
-            memory |= {"for": key, "a1": p[:, :WIDTH] @ q + p[:, -1], "a2": p[:, WIDTH : 2 * WIDTH] @ q, "z": np.full(len(p) ** 2, np.nan, dtype=np.float32)}
+            a1, a2 = p[:, :WIDTH] @ q + p[:, -1], p[:, WIDTH : 2 * WIDTH] @ q
+            top1, top2 = (a.max(axis=1, keepdims=True).astype(np.float64) for a in (a1, a2))
+            z = np.log(np.exp(a1 - top1) @ np.exp(a2 - top2).T) + top1 + top2.T
+            memory |= {"for": key, "a1": a1, "a2": a2, "z": z}
         self.a1, self.a2, self.z = memory["a1"], memory["a2"], memory["z"]
 
     def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
-        n = len(self.p)
-        pair = c1.astype(np.int64) * n + c2
-        need = np.unique(pair[np.isnan(self.z[pair])])
-        for at in range(0, len(need), 1024):
-            part = need[at : at + 1024]
-            s = self.a1[part // n] + self.a2[part % n]
-            top = s.max(axis=1)
-            self.z[part] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-        return (self.a1[c1, w].astype(np.float64) + self.a2[c2, w] - self.z[pair]) / np.log(10)
+        return (self.a1[c1, w].astype(np.float64) + self.a2[c2, w] - self.z[c1, c2]) / np.log(10)
 
 
 def _most_frequent(counts: DataFrame, most: int):
