@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.iri import url_encoded
 from foliant.functions.years import year_of_edtf
+from foliant.graph.mapping import PREFIXES, TYPE, expand
 from foliant.nulls import col
 
 
@@ -81,6 +82,62 @@ def with_properties(rows: DataFrame, key: str, properties: DataFrame) -> DataFra
     return rows.join(properties, key, "left")
 
 
+def property_blocks(rows: DataFrame, key: str, blocks: dict[str, DataFrame]) -> DataFrame:
+    """key, property, value: the distinct values of every block (key, value) for a page's rows."""
+    chosen = rows.select(key)
+    made = [b.join(chosen, key, "left_semi").where("value IS NOT NULL").select(key, F.lit(n).alias("property"), F.col("value").cast("string").alias("value")) for n, b in blocks.items()]
+    out = made[0]
+    for m in made[1:]:
+        out = out.unionByName(m)
+    return out.distinct()
+
+
+def values(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """An inline table of texts."""
+    return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+
+
+def with_labels(df: DataFrame, column: str, vocabulary: DataFrame) -> DataFrame:
+    """df with label: the vocabulary's (iri, label; the smallest of several) for the IRI, else the last part of the IRI."""
+    v = vocabulary.groupBy(F.col("iri").alias("_iri")).agg(F.min("label").alias("_label"))
+    j = df.join(v, df[column] == F.col("_iri"), "left")
+    return j.withColumn("label", F.coalesce("_label", F.regexp_extract(column, r"([^/#]*)\z", 1))).drop("_iri", "_label")
+
+
+def follow(t: DataFrame, *path: str) -> DataFrame:
+    """s, o: what a path of predicates connects, once each; every step is an equi-join on the node between."""
+    first, *rest = [t.where(F.col("p") == p).select("s", "o") for p in path]
+    for step in rest:
+        first = first.withColumnRenamed("o", "_via").join(step.select(F.col("s").alias("_via"), "o"), "_via").select("s", "o")
+    return first.distinct()
+
+
+#: Kinds of events and the years that they give.
+EVENT_YEARS = {"obj:birth": "birth_year", "obj:death": "death_year", "obj:foundation": "foundation_year", "obj:dissolution": "dissolution_year"}
+
+
+def actor_facets(t: DataFrame, prefixes: dict[str, str] | None = None) -> DataFrame:
+    """actor, facet, value: type, years of events, gender and country, from an actor's triples; only organisations have
+    years of foundation and dissolution."""
+    names = PREFIXES | (prefixes or {})
+    iri = lambda x: expand(x, names)
+    facet = lambda d, name: d.select("actor", F.lit(name).alias("facet"), "value")
+    kinds = follow(t, iri(TYPE)).toDF("actor", "value").where(F.col("value").isin(iri("obj:Person"), iri("obj:Organization")))
+    groups = kinds.where(F.col("value") == iri("obj:Organization")).select("actor").distinct()
+    year_of = F.create_map(*[F.lit(x) for k, v in EVENT_YEARS.items() for x in (iri(k), v)])
+    events = follow(t, iri("obj:wasPresentAt")).toDF("actor", "event")
+    typed = follow(t, iri("obj:hasType")).toDF("event", "kind").where(F.col("kind").isin(*[iri(k) for k in EVENT_YEARS]))
+    start = follow(t, iri("obj:hasTimeSpan"), iri("obj:hasStartTime")).toDF("event", "at").where(F.col("at").rlike("^[0-9]{4}-"))
+    years = events.join(typed, "event").join(start, "event").select("actor", year_of[F.col("kind")].alias("facet"), F.substring("at", 1, 4).cast("int").cast("string").alias("value"))
+    life = F.col("facet").isin("birth_year", "death_year")
+    years = years.where(life).unionByName(years.where(~life).join(groups, "actor", "left_semi"))
+    given = follow(t, iri("obj:assigns")).toDF("a", "value")
+    gender = follow(t.where(F.col("o") == iri("obj:gender")), iri("obj:assignsPropertyOfType")).select(F.col("s").alias("a"))
+    gender = follow(t, iri("obj:assignsAttributeTo")).toDF("a", "actor").join(gender, "a", "left_semi").join(given, "a")
+    country = follow(t, iri("obj:hasResidenceIn")).toDF("actor", "value")
+    return facet(kinds, "type").unionByName(years).unionByName(facet(gender, "gender")).unionByName(facet(country, "country")).distinct()
+
+
 def on_map(df: DataFrame, place: str, longitude: str, latitude: str, entity: str) -> DataFrame:
     """place, long, lat, n: distinct entities per place with coordinates."""
     d = df.dropna(subset=[place, longitude, latitude])

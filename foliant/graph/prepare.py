@@ -56,10 +56,12 @@ def actors(df: DataFrame, prefixes: dict[str, str] | None = None) -> DataFrame:
     return d.withColumns(made).drop("_base")
 
 
-def actor_links(df: DataFrame, column: str) -> DataFrame:
-    """actor, n, column: every valid link of a multi-valued cell, numbered per actor."""
-    d = df.select(clean_iri("actor").alias("actor"), valid_iris(column).alias("v")).where("actor IS NOT NULL")
-    return d.groupBy("actor").agg(F.array_distinct(F.flatten(F.collect_list("v"))).alias("v")).select("actor", F.posexplode("v").alias("n", column)).withColumn("n", F.col("n") + 1)
+def actor_links(df: DataFrame, column: str, order: str | None = None) -> DataFrame:
+    """actor, n, column: every valid link of a multi-valued cell, numbered per actor by the rows' order, without one by the cells' values."""
+    d = df.select(clean_iri("actor").alias("actor"), (F.col(order) if order else F.lit(0)).alias("at"), valid_iris(column).alias("v")).where("actor IS NOT NULL")
+    cells = F.array_sort(F.collect_list(F.struct("at", "v")))
+    links = d.groupBy("actor").agg(F.array_distinct(F.flatten(F.transform(cells, lambda x: x["v"]))).alias("v"))
+    return links.select("actor", F.posexplode("v").alias("n", column)).withColumn("n", F.col("n") + 1)
 
 
 def editions(df: DataFrame) -> DataFrame:

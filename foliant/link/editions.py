@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.text import NAME_COMMON, author_key, folded_words, may_reach, similarity, title_similarity
-from foliant.nulls import col
+from foliant.nulls import col, fold
 from foliant.operators.distinct import on_distinct
+from foliant.operators.firsts import ROW, last_row_by
 
 YEARS = 2
 TITLE = 0.75
@@ -126,3 +127,28 @@ def first_token_candidates(names: DataFrame, other_names: DataFrame, cap: int =
 def resume(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What is left to do: keys that the result table doesn't hold yet."""
     return todo.join(done.select(key).distinct(), key, "left_anti")
+
+
+#: Match types of editions that are settled; others keep a candidate only.
+SETTLED = ("actor_bridge", "heuristic", "llm")
+
+
+def enrich(editions: DataFrame, matches: DataFrame, prefix: str = "other", order: str = ROW) -> DataFrame:
+    """Editions with <prefix>_id of settled matches, <prefix>_candidate_id of the others, match type and confidence.
+
+    An edition is met by its bnf_id, without one by its edition. matches: edition, other_id, match_type, confidence, order;
+    of repeated editions the last row counts.
+    """
+    m = last_row_by(matches.select(fold("edition").alias("_k"), "other_id", "match_type", "confidence", F.col(order).alias("_at")), ["_k"], "_at")
+    sure = F.col("match_type").isin(*SETTLED)
+    m = m.select(
+        "_k", F.when(sure, F.col("other_id")).alias(f"{prefix}_id"), F.when(~F.coalesce(sure, F.lit(False)), F.col("other_id")).alias(f"{prefix}_candidate_id"),
+        F.col("match_type").alias(f"{prefix}_match_type"), F.col("confidence").alias(f"{prefix}_confidence"),
+    )
+    own = [fold(c) for c in ("bnf_id", "edition") if c in editions.columns]
+    return editions.withColumn("_own", F.coalesce(*own)).join(m, F.col("_own") == F.col("_k"), "left").drop("_own", "_k")
+
+
+def enrichment_counts(enriched: DataFrame, prefix: str = "other") -> DataFrame:
+    """total, matched, ambiguous: one row of an enriched table."""
+    return enriched.agg(F.count("*").alias("total"), F.count(f"{prefix}_id").alias("matched"), F.count(f"{prefix}_candidate_id").alias("ambiguous"))

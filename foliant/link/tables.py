@@ -74,3 +74,8 @@ def inherit(known: DataFrame, mapping: DataFrame) -> DataFrame:
     """known (actor, other_actor) and, for duplicates that have no link of their own, the link of their canonical actor."""
     more = mapping.join(known.select(F.col("actor").alias("canonical_actor"), "other_actor"), "canonical_actor").select("actor", "other_actor")
     return known.unionByName(more.join(known, "actor", "left_anti"))
+
+
+def persons(df: DataFrame, key: str = "actor_id", flag: str = "is_organization") -> DataFrame:
+    """Rows with an identifier that aren't marked as organisations."""
+    return df.where(fold(key).isNotNull() & (F.coalesce(F.upper(fold(flag)), F.lit("")) != "TRUE"))

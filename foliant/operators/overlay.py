@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.operators.firsts import ROW, first_row_by
+
 #: Kinds of name corrections that may change the table.
 APPLIED = ("derived_from_first_last", "stripped_rdf_literal_tag")
 
@@ -76,10 +78,10 @@ def coalesce_ids(df: DataFrame, key: str, column: str, source: DataFrame, source
     return df.join(s, df[key] == F.col("_k"), "left").withColumn(column, F.coalesce(column, "_v")).select(*df.columns)
 
 
-def join_if_absent(df: DataFrame, key: str, source: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns that df lacks, from one row per key of the source."""
+def join_if_absent(df: DataFrame, key: str, source: DataFrame, columns: list[str], order: str = ROW) -> DataFrame:
+    """The columns that df lacks, from the first row of each key of the source; NULL without one."""
     missing = [c for c in columns if c not in df.columns]
     if not missing:
         return df
-    s = source.groupBy(F.col(key)).agg(*[F.min(c).alias(c) for c in missing])
+    s = first_row_by(source.select(key, *missing, F.col(order).alias("_at")), [key], "_at").drop("_at")
     return df.join(s, key, "left")

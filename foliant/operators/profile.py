@@ -75,3 +75,17 @@ def column_catalogue(headers: DataFrame) -> DataFrame:
     """column_name, files: from file, columns(array), which files have a column."""
     long = headers.select("file", F.explode("columns").alias("column_name"))
     return long.groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_set("file")), "; ").alias("files"))
+
+
+def schema_groups(headers: DataFrame) -> DataFrame:
+    """names, n_columns, files, n_files: the files that have the same columns, in whatever order."""
+    d = headers.select("file", F.array_sort(F.array_distinct("columns")).alias("c"))
+    per = d.groupBy("c").agg(F.array_sort(F.collect_list("file")).alias("f"))
+    return per.select(F.array_join("c", "; ").alias("names"), F.size("c").cast("long").alias("n_columns"), F.array_join("f", "; ").alias("files"), F.size("f").cast("long").alias("n_files"))
+
+
+def filled_entities(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """field, n: distinct keys with a value in the field, on any of their rows; one shuffle for all fields."""
+    per = df.groupBy(key).agg(*[F.max(fold(F.col(f).cast("string"), "strip").isNotNull()).alias(f) for f in fields])
+    totals = per.where(F.col(key).isNotNull()).agg(*[F.count_if(f).alias(f) for f in fields])
+    return totals.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("n")) for f in fields])))

@@ -52,6 +52,11 @@ def link_summary(df: DataFrame, work: str, edition: str, expression: str) -> Dat
     )
 
 
+def missing_links(mine: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """keys: the distinct links of one table that the other lacks; null equals null."""
+    return mine.select(*keys).subtract(other.select(*keys))
+
+
 def one_to_many(df: DataFrame, one: str, many: str) -> DataFrame:
     """n, keys: how many keys have how many distinct partners."""
     per = df.dropna(subset=[one, many]).groupBy(one).agg(F.count_distinct(many).alias("n"))

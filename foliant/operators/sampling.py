@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def seeded(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows, chosen by hash; a distributed top-n, no full sort."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows, chosen by the MD5 of key|seed; a distributed top-n, no full sort."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), key).limit(n)
 
 
 def seeded_entities(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

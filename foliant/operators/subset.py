@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.nulls import fold
 from foliant.operators.firsts import ROW
 
 
@@ -51,3 +52,8 @@ def field_statistics(df: DataFrame, fields: list[str]) -> DataFrame:
         "field", "filled", F.when(F.col("n") > 0, F.round(F.col("filled") / F.col("n") * 100, 4)).otherwise(0.0).alias("fill_percent"),
         F.when(F.col("n") > 0, F.round(F.col("items") / F.col("n"), 4)).otherwise(0.0).alias("items_per_record"),
     )
+
+
+def with_any(df: DataFrame, fields: list[str]) -> DataFrame:
+    """Rows that have a value in at least one of the fields."""
+    return df.where(F.coalesce(*[fold(f) for f in fields]).isNotNull())

@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 
 
 def every() -> tuple[dict, dict]:
-    from foliant.plans import graph, linking, profiling, relational, scalar
+    from foliant.plans import assembly, graph, linking, profiling, relational, scalar
 
-    del graph, linking, profiling, relational, scalar
+    del assembly, graph, linking, profiling, relational, scalar
     return QUERIES, ORACLES

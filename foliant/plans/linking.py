@@ -10,7 +10,7 @@ from foliant.functions.names import plausible_name
 from foliant.functions.text import folded, group_name, token_set
 from foliant.link import actors, authorities, editions, tables
 from foliant.operators.dedup import same_persons
-from foliant.plans import query, table
+from foliant.plans import ORACLES, query, table
 from foliant.plans.scalar import q_dates_edtf, q_link_norm, q_place_lookup, q_publisher_classify
 
 
@@ -165,7 +165,12 @@ def q_evaluate_dates(spark, sf_dir):
     return rules.summary(q_dates_edtf(spark, sf_dir), rules.dates("edtf", "form"))
 
 
-@query()
+@query("WITH h AS (SELECT harmonised AS v FROM (" + ORACLES["q_link_norm"] + """)),
+c AS (SELECT CASE WHEN v IS NULL THEN 'missing_value' WHEN regexp_matches(v, '[;|]') THEN 'multi_value_not_split' WHEN NOT regexp_full_match(v, 'https?://\\S+') THEN 'not_a_uri'
+      WHEN regexp_extract(v, '://([^/?#]+)', 1) NOT IN ('viaf.org', 'fr.wikipedia.org') THEN 'unknown_authority_domain' END AS "case" FROM h)
+SELECT "case", CASE "case" WHEN 'unknown_authority_domain' THEN 'warning' ELSE 'error' END AS case_type, count(*) AS total_occurrences, round(count(*) / (SELECT count(*) FROM h) * 100, 4) AS percentage
+FROM c WHERE "case" IS NOT NULL GROUP BY "case"
+""")
 def q_evaluate_links(spark, sf_dir):
     return rules.summary(q_link_norm(spark, sf_dir), rules.links("harmonised"))
 
@@ -182,13 +187,21 @@ def q_evaluate_language(spark, sf_dir):
     return rules.summary(d, rules.language("l"))
 
 
-@query()
+@query("WITH h AS (SELECT * FROM (" + ORACLES["q_place_lookup"] + """)),
+c AS (SELECT unnest([CASE WHEN publication_place IS NULL AND publication_country IS NULL THEN 'unmatched_place' END, CASE WHEN publication_place IS NOT NULL AND publication_country IS NULL THEN 'missing_publication_country' END,
+      CASE WHEN tgn_id IS NOT NULL AND s_suppkey % 3 = 0 THEN 'invalid_coordinates' END]) AS "case" FROM h)
+SELECT "case", CASE "case" WHEN 'unmatched_place' THEN 'warning' ELSE 'error' END AS case_type, count(*) AS total_occurrences, round(count(*) / (SELECT count(*) FROM h) * 100, 4) AS percentage
+FROM c WHERE "case" IS NOT NULL GROUP BY "case"
+""")
 def q_evaluate_place(spark, sf_dir):
     d = q_place_lookup(spark, sf_dir).withColumns({"o": F.lit("x"), "x": F.when(F.col("s_suppkey") % 3 == 0, "200").otherwise("1.5"), "y": F.lit("2")})
     return rules.summary(d, rules.place("publication_place", "o", "tgn_id", "publication_country", "x", "y"))
 
 
-@query()
+@query("WITH h AS (SELECT coalesce(harmonised, '') AS v FROM (" + ORACLES["q_publisher_classify"] + """)),
+c AS (SELECT v, unnest([CASE WHEN v = '' THEN 'missing_value' END, CASE WHEN contains(v, ';') THEN 'multi_value_not_split' END, CASE WHEN regexp_matches(v, '[^\\w\\s.,\\-''()&]') THEN 'non_alphanumeric_noise' END]) AS label FROM h)
+SELECT v AS "value", string_agg(DISTINCT label, ';' ORDER BY label) AS cases, count(*) AS occurrences FROM c WHERE label IS NOT NULL GROUP BY v
+""")
 def q_evaluate_publisher(spark, sf_dir):
     return rules.by_value(q_publisher_classify(spark, sf_dir), "harmonised", rules.publisher("harmonised"), "error")
 

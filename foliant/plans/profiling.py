@@ -77,7 +77,7 @@ def q_sample_spaced(spark, sf_dir):
     return sampling.spaced_values(table(spark, sf_dir, "part"), "p_name", 25)
 
 
-@query()
+@query("SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL) ORDER BY md5(o_custkey::VARCHAR || '|42'), o_custkey LIMIT 20)")
 def q_sample_seeded(spark, sf_dir):
     return sampling.seeded_entities(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", 20)
 
