@@ -106,12 +106,9 @@ def q_edition_match(spark, sf_dir):
     names = names.withColumn("tokens", editions.name_tokens("name"))
     theirs = d.select(k.alias("other_id"), folded(F.concat(F.lit("Elie"), (k % 7).cast("string"), F.lit(" author"))).alias("other_name"))
     theirs = theirs.withColumn("other_tokens", editions.name_tokens("other_name"))
-    heuristic = editions.by_name_and_year(mine.select("edition", "title", "year"), names, other, theirs)
-    bridge = editions.bridge(
-        mine.select("edition", "title", "year"), d.select(k.alias("edition"), F.when(k % 2 == 0, k % 5).alias("actor")),
-        spark.range(5).select(F.col("id").alias("actor"), F.col("id").alias("other_actor")), other, d.select(k.alias("other_id"), (k % 5).alias("other_actor")),
-    )
-    return editions.cascade(mine, "scope", bridge, heuristic)
+    authors = d.select(k.alias("edition"), F.when(k % 2 == 0, k % 5).alias("actor"))
+    known = spark.range(5).select(F.col("id").alias("actor"), F.col("id").alias("other_actor"))
+    return editions.match(mine, "scope", authors, known, names, other, d.select(k.alias("other_id"), (k % 5).alias("other_actor")), theirs)
 
 
 @query("""

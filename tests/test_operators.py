@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foliant.functions import text as link_text
 from foliant.link import actors as link_actors
 from foliant.link import editions as link_editions
 from foliant.link import gazetteer
@@ -132,6 +133,41 @@ def test_resolve_near_ties(spark):
     assert got == [(1, "y", "k"), (2, "x", "ambiguous_k"), (3, "z", "k")]
 
 
+def test_match_against_all_pairs(spark, monkeypatch):
+    """Copies, titles without a telling word, empty ones, several names and authors; copies are never paired one by one."""
+    rng = random.Random(5)
+    titles = ["Voyage autour du monde", "Voyages autour du monde", "Le monde entier", "Of an 12", "of an 13", "", None, "Histoire de la terre et du ciel en neuf livres nouveaux", "Histoire de la terre"]
+    people = ["Jean Dupont", "Dupont, Jean", "Jeanne Dupond", "Ann Smith", "Li"]
+    mine = [(i, rng.choice(titles), rng.choice([None, *range(1700, 1706)]), rng.random() < 0.8) for i in range(60)] + [(i, titles[0], 1700, True) for i in range(100, 160)]
+    theirs = [(i, rng.choice(titles), rng.choice([None, *range(1700, 1706)])) for i in range(60)] + [(i, titles[0], 1700) for i in range(100, 160)]
+    named = {i: [people[0]] if i >= 100 else rng.sample(people, rng.randrange(3)) for i, *_ in mine}
+    other_named = {i: [people[1]] if i >= 100 else rng.sample(people, rng.randrange(3)) for i, *_ in theirs}
+    acts = [(i, a) for i, *_ in mine if i < 100 for a in rng.sample(range(4), rng.randrange(3))]
+    other_acts = [(i, a) for i, *_ in theirs if i < 100 for a in rng.sample(range(4), rng.randrange(3))]
+    flat = lambda d: [(i, n) for i, ns in d.items() for n in ns]
+    e = spark.createDataFrame(mine, "edition long, title string, year int, scope boolean")
+    o = spark.createDataFrame(theirs, "other_id long, other_title string, other_year int")
+    au, oau = spark.createDataFrame(acts, "edition long, actor long"), spark.createDataFrame(other_acts, "other_id long, other_actor long")
+    known = spark.createDataFrame([(i, i) for i in range(4)], "actor long, other_actor long")
+    names = spark.createDataFrame(flat(named), "edition long, raw string").select("edition", link_text.folded("raw").alias("name"))
+    others = spark.createDataFrame(flat(other_named), "other_id long, raw string").select("other_id", link_text.folded("raw").alias("other_name"))
+    names, others = names.withColumn("tokens", link_editions.name_tokens("name")), others.withColumn("other_tokens", link_editions.name_tokens("other_name"))
+
+    near = e.join(o, F.abs(e["year"] - o["other_year"]) <= 2)
+    near = near.withColumn("ts", link_text.title_similarity(link_text.folded_words("title"), link_text.folded_words("other_title"))).where("ts >= 0.75")
+    linked = au.withColumnRenamed("actor", "other_actor").join(oau, "other_actor").select("edition", "other_id").distinct()
+    bridge = near.join(linked, ["edition", "other_id"]).select("edition", "year", "other_id", "other_year", ((1 + F.col("ts")) / 2).alias("score"), F.lit("actor_bridge").alias("kind"))
+    pairs = names.join(others, F.lit(True)).withColumn("au", link_text.similarity(link_text.author_key("name"), link_text.author_key("other_name")))
+    pairs = pairs.groupBy("edition", "other_id").agg(F.max("au").alias("au"), F.max(F.arrays_overlap("tokens", "other_tokens")).alias("word")).where("au >= 0.8 AND word")
+    second = near.join(pairs, ["edition", "other_id"]).select("edition", "year", "other_id", "other_year", ((F.col("au") + F.col("ts")) / 2).alias("score"), F.lit("heuristic").alias("kind"))
+    want = rows(link_editions.cascade(e, "scope", bridge, second), "edition")
+
+    staged = []
+    monkeypatch.setattr(link_editions, "stage", lambda df, made=link_editions.stage: staged.append(out := made(df)) or out)
+    assert rows(link_editions.match(e, "scope", au, known, names, o, oau, others), "edition") == want
+    assert len({r[3] for r in want}) >= 5 and max(s.count() for s in staged) < 60 * 60
+
+
 def test_gazetteer_flags(spark):
     t = spark.createDataFrame([("1", "Paris", "France", "2.3", "48.8"), ("9", "X", "Y", "0", "0")], "tgn_id string, publication_place string, publication_country string, longitude string, latitude string")
     g = spark.createDataFrame([("1", "Paris", "France", 2.3, 48.8), ("2", "paris", "United States", -95.5, 33.6)], "tgn_id string, label string, country string, longitude double, latitude double")
