@@ -486,6 +486,25 @@ def test_fuzzy_passages_are_found(spark):
     assert found >= 45  # recall of 0.85 was measured
 
 
+def test_passages_of_one_seed_are_found(spark):
+    """27 equal words in a row are sure to give a seed; with every sixth of the other 36 words changed there may be no second one."""
+    from foliant.llm.substring import K, minimisers, repeated_passages, word_hashes
+
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows, alone = [], 0
+    for i in range(60):
+        p = text(63)
+        other = [w if 18 <= j < 45 or j % 6 else f"x{i}-{j}" for j, w in enumerate(p)]
+        other[17], other[45] = f"y{i}", f"z{i}"
+        one, two = " ".join(text(20) + p), " ".join(other + text(20))
+        rows += [(2 * i, one), (2 * i + 1, two)]
+        alone += len(set(minimisers(word_hashes(one, {}))[0].tolist()) & set(minimisers(word_hashes(two, {}))[0].tolist())) == 1
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert K == 8 and alone >= 5
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(2 * i + 1, 2 * i) for i in range(60)}
+
+
 def test_chains_against_all_subsets():
     from foliant.llm.substring import _common, chains
 
