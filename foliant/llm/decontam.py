@@ -32,21 +32,20 @@ def _tokens(text):
     return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda x: x != "")
 
 
-def template(raw, at: int | None = None):
-    """Template words of an array of raw words."""
+def template(raw):
+    """Template words of an array of raw words. Each word is trimmed once: lambdas are interpreted and share no results."""
     units = F.array(*[F.lit(u) for u in UNITS])
 
-    def one(w, i):
-        bare = F.btrim(w, F.lit(TRIM))
+    def one(bare, i):
         before = F.try_element_at(raw, F.greatest(i, F.lit(1)))
         end = F.substring(before, -1, 1)
-        inside = (i > 0) & ~end.isin(".", "!", "?", ":")
-        number = F.substring(bare, 1, 1).between("0", "9")
+        number = (bare >= "0") & (bare < ":")
         # The last sign rules most words out before the pattern is tried.
-        after_number = (i > 0) & (end.between("0", "9") | end.isin(".", ",")) & before.rlike("[0-9][0-9.,]*$")
+        after_number = (i > 0) & end.isin(*"0123456789.,") & before.rlike("[0-9][0-9.,]*$")
         lower = F.lower(bare)
         first, rest = F.substring(bare, 1, 1), F.substring(bare, 2, 1_000_000_000)
-        name = inside & (F.length(bare) > 1) & (first != F.lower(first)) & (rest == F.lower(rest))
+        small = (bare >= "a") & (bare < "{")  # most words begin with a small letter and are no names
+        name = ~small & (first != F.lower(first)) & (F.length(bare) > 1) & (i > 0) & ~end.isin(".", "!", "?", ":") & (rest == F.lower(rest))
         return (
             F.when(number, F.lit("<num>"))
             .when(after_number & F.array_contains(units, lower), F.lit("<unit>"))
@@ -54,17 +53,20 @@ def template(raw, at: int | None = None):
             .otherwise(lower)
         )
 
-    return F.transform(raw, one)
+    return F.transform(F.transform(raw, lambda w: F.btrim(w, F.lit(TRIM))), one)
 
 
-def _keys(words: str, window: int):
-    """Hashes of all windows; a shorter text is one window of all its words."""
-    n = F.size(words)
-    wide = F.transform(
-        F.sequence(F.lit(1), n - window + 1),
-        lambda i: F.xxhash64(*[F.element_at(F.col(words), (i + j).cast("int")) for j in range(window)]),
-    )
-    return F.when(n >= window, wide).when(n > 0, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(F.array().cast("array<bigint>"))
+def _windows(df: DataFrame, words: str, window: int, at: str) -> DataFrame:
+    """df with a row for each window of its words: the place (from 0) and the key, a hash of the window's words.
+
+    A shorter text is one window of all its words, a text without words has none. Only places are exploded, so that
+    the keys are made in compiled code.
+    """
+    n, w = F.size(words), F.col(words)
+    places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - window, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    rows = df.withColumn(at, F.explode(places))
+    wide = F.xxhash64(*[F.get(w, F.col(at) + j) for j in range(window)])
+    return rows.withColumn("key", F.when(n >= window, wide).otherwise(F.xxhash64(F.array_join(w, " "))))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containment: float = CONTAINMENT) -> DataFrame:
@@ -79,15 +81,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, containme
     d = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), _tokens(F.col("text").cast("string")).alias("raw"))
     items = items.where(F.size("raw") > 0).withColumn("words", template(F.col("raw")))
-    seeds = items.select("item_id", "raw", "words", F.posexplode(_keys("words", window)).alias("ipos", "key"))
+    seeds = _windows(items, "words", window, "ipos")
     seeds = stage(seeds.select("item_id", "ipos", "key", _cut("words", "ipos", window).alias("kinds"), _cut("raw", "ipos", window).alias("asked")))
     keys = stage(seeds.select("key").distinct())
     sizes = seeds.groupBy("item_id").agg(F.count_distinct("key").alias("windows"))
 
     d = d.select("doc_id", F.xxhash64("text").alias("version"), "text")  # rows of one doc_id can have several texts
     made = d.select("doc_id", "version", _tokens(F.col("text")).alias("raw")).select("doc_id", "version", template(F.col("raw")).alias("words"))
-    hits = made.select("doc_id", "version", F.posexplode(_keys("words", window)).alias("dpos", "key")).join(keys, "key", "left_semi")
-    hits = stage(hits)
+    hits = stage(_windows(made, "words", window, "dpos").select("doc_id", "version", "dpos", "key").join(keys, "key", "left_semi"))
     # Each window counts once for a document and once for an item, so a common window isn't multiplied by its places; a
     # window that many documents hold is dealt over several tasks.
     held = stage(hits.select("doc_id", "key").distinct())

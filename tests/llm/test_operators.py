@@ -163,6 +163,23 @@ def test_decontamination(spark, empty):
     assert leaks(empty, b).count() == 0 and leaks(d, b.limit(0)).count() == 0 and drop_leaks(d, b.limit(0)).count() == len(texts)
 
 
+def test_decontamination_trims_each_word_once_and_makes_keys_in_compiled_code(spark):
+    from foliant.llm.decontam import _tokens, _windows, template
+
+    texts = ["Then. Anna paid 12,50. usd to ANNA, (Bob) -- 3 km ß É 'Élan' \U0001d400x \u01c5x ŉ 4", "a Bc", "", " \n", "-- ...", "1 2 3 4 5"]
+    raw = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", _tokens(F.col("t")).alias("raw"))
+    words = raw.select("i", template(F.col("raw")).alias("words"))
+    got = {r["i"]: r["words"] for r in words.collect()}
+    assert got[0] == "then anna paid <num> <unit> to anna <name>  <num> <unit> ß É <name> \U0001d400x <name> ŉ <num>".replace("É", "é").split(" ")
+    assert got[1] == ["a", "<name>"] and got[2] == [] and got[3] == [] and got[4] == ["", ""] and got[5] == ["<num>"] * 5
+    made = _windows(words, "words", 5, "at").select("i", "at", "key")
+    places = sorted((r["i"], r["at"]) for r in made.collect())
+    assert places == [(0, k) for k in range(len(got[0]) - 4)] + [(1, 0), (4, 0), (5, 0)]
+    plan = made._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("trim(") == 1
+    assert ") Generate" in plan.executedPlan().toString()  # within a whole-stage step
+
+
 def test_decontamination_against_brute_force(spark, sf_dir):
     from foliant.llm.decontam import leaks
 
