@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import process_memory, stage, tidy
+from foliant.llm.common import forget, process_memory, stage, tidy
 
 CAPACITY = 4096
 END_ID = 1
@@ -224,6 +224,26 @@ def slots(patterns: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray,
     return {n: tuple(np.asarray(c, dtype=np.int64) for c in zip(*v, strict=True)) for n, v in by.items()}
 
 
+def _placed(batches: Iterator[pa.RecordBatch], plan: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Sequence and offset of each piece, read from the plan's slots."""
+    forget()  # the words, which later steps would find the process still holding
+    for batch in batches:
+        length = batch.column("length").to_numpy()
+        rank = batch.column("ord").to_numpy() + batch.column("base").to_numpy()
+        sequence, offset = np.empty_like(rank), np.empty_like(rank)
+        for n in np.unique(length):
+            mine = np.flatnonzero(length == n)
+            first, seq, off = plan[int(n)]
+            k = np.searchsorted(first, rank[mine], side="right") - 1
+            sequence[mine] = seq[k] + rank[mine] - first[k]
+            offset[mine] = off[k]
+        kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(sequence), pa.array(offset)],
+            ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+        )
+
+
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pack all documents into as few sequences of at most capacity tokens as the plan finds.
 
@@ -241,25 +261,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     counts = {int(r["length"]): int(r["n"]) for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = spark.sparkContext.broadcast(slots(plan_patterns(counts, capacity)))  # bounded by the number of lengths
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = table.value
-        for batch in batches:
-            length = batch.column("length").to_numpy()
-            rank = batch.column("ord").to_numpy() + batch.column("base").to_numpy()
-            sequence, offset = np.empty_like(rank), np.empty_like(rank)
-            for n in np.unique(length):
-                mine = np.flatnonzero(length == n)
-                first, seq, off = plan[int(n)]
-                k = np.searchsorted(first, rank[mine], side="right") - 1
-                sequence[mine] = seq[k] + rank[mine] - first[k]
-                offset[mine] = off[k]
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sequence), pa.array(offset)],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
-
     # Bases are as many as tasks times lengths, so they grow with the corpus: both sides are dealt by (length, task).
     located = made.join(starts.select("length", "task", "base").hint("shuffle_hash"), ["length", "task"])
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return located.mapInArrow(place, schema)
+    return located.mapInArrow(lambda batches: _placed(batches, table.value), schema)

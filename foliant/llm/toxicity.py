@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import forget, tidy
+from foliant.llm.common import forget, stage, tidy
 
 TRAIN_PER_CLASS = 800
 TRAIN_CHARS = 12_000
@@ -351,5 +351,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLAS
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) -> DataFrame:
-    """docs without the rows predicted toxic; all columns are kept as they are."""
-    return score(docs, train(docs, labels, per_class)).where("predicted = 0").select(*docs.columns)
+    """docs without the rows predicted toxic; all columns are kept as they are. They are staged, so that the whole rows
+    go through Python in batches of bounded size."""
+    return stage(score(docs, train(docs, labels, per_class)).where("predicted = 0").select(*docs.columns))

@@ -28,3 +28,14 @@ def test_run_gives_the_last_stage(spark, sf_dir):
 
     out = cp.run(spark, sf_dir)
     assert {"doc_id", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_stages_leave_little_in_the_python_workers(spark, sf_dir):
+    import corpus_pipeline as cp
+    from foliant.llm.common import process_memory
+    from foliant.llm.packing import _placed
+
+    process_memory("word ids of an earlier stage")["encode"] = len
+    assert list(_placed(iter([]), {})) == [] and not process_memory("word ids of an earlier stage")
+    kept = cp.toxicity(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()  # staged in bounded batches
