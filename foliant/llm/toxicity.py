@@ -39,6 +39,8 @@ PATTERNS = [(d1, d2) for d1 in range(1, SPAN) for d2 in range(1, SPAN) if d1 + d
 #: Digits and signs commonly written for letters.
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"})
 WINDOW, OVERLAP = 28, 12
+#: Bounds of memory: texts and words taken at a time, words remembered.
+TEXTS, WORDS, KNOWN = 100, 4096, 100_000
 
 
 def words_of(text: str | None) -> set[str]:
@@ -124,8 +126,8 @@ class Kernel:
             if p := plain(w):
                 by_size.setdefault(min((len(p) + 3) // 4, 8), []).append((w, p))
         for group in by_size.values():
-            for at in range(0, len(group), 8192):
-                part = group[at : at + 8192]
+            for at in range(0, len(group), WORDS):
+                part = group[at : at + WORDS]
                 code, owner = _codes([p for _, p in part])
                 shapes = list(_features(code))
                 bound = sum(weight * self.top[f].sum(axis=1) for f, weight in shapes)
@@ -157,7 +159,11 @@ class Model:
 
 
 def pooled(kernel: Kernel, texts: list[set[str]], known: dict[str, np.ndarray | None]) -> np.ndarray:
-    """For each document the largest kernel value per landmark. known remembers words (None: below LEAST)."""
+    """For each document the largest kernel value per landmark. known remembers words (None: below LEAST),
+    KNOWN and those of these texts at most."""
+    if len(known) > KNOWN:
+        for w in list(known)[KNOWN // 2 :]:  # the first ones met are mostly the frequent ones
+            del known[w]
     fresh = [w for w in set().union(*texts) if w not in known]
     known.update(dict.fromkeys(fresh))
     known.update(kernel.values(fresh))
@@ -178,12 +184,17 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], most: int) ->
     seen = {p for words in clean for w in words if (p := plain(w))}
 
     def parts(w: str, common: set[str] | None) -> set[str]:
-        """Strings of a word: those of four letters, or those of up to twelve whose ends are common ones of four."""
+        """Strings of a word: those of four letters, or those of up to twelve made of common ones of four."""
         fours = [w[i : i + 4] for i in range(len(w) - 3)]
         if common is None:
             return set(fours)
-        held = [x in common for x in fours]
-        return {w[i : j + 4] for i, x in enumerate(held) if x for j in range(i, min(i + 9, len(held))) if held[j]}
+        out, since = set(), 0
+        for j, x in enumerate(fours):
+            if x in common:
+                out.update(w[i : j + 4] for i in range(max(since, j - 8), j + 1))
+            else:  # what holds a rare string of four is as rare
+                since = j + 1
+        return out
 
     def row(words: set[str], common: set[str] | None) -> set[str]:
         return set().union(*(parts(p, common) for w in words if (p := plain(w)) not in seen), set())
@@ -243,9 +254,12 @@ def fit(texts: list[str | None], labels: list[int], most: int = LANDMARKS, seed:
         return Model(["___"], np.zeros(1, dtype=np.float32), 0.0, 1.0, float(np.log(rate / (1 - rate))))
     rng = np.random.default_rng(seed)
     kernel = Kernel(landmarks)
-    known: dict[str, np.ndarray | None] = {}
-    x = np.vstack([pooled(kernel, words, known), pooled(kernel, [perturbed(w, rng) for w in words], known)])
-    y = np.concatenate([y, y])
+    x = []
+    for change in (set, lambda w: perturbed(w, rng)):
+        known: dict[str, np.ndarray | None] = {}
+        for at in range(0, len(words), TEXTS):
+            x.append(pooled(kernel, [change(w) for w in words[at : at + TEXTS]], known))
+    x, y = np.vstack(x), np.concatenate([y, y])
     d = np.sqrt(np.diag(kernel.gram))
     value, vector = np.linalg.eigh(kernel.gram / d[:, None] / d[None, :])
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 0.05))) @ vector.T
@@ -290,7 +304,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS)
         both = marks.where((F.col("toxic") == 1) & F.col("doc_id").isin(list(kinds)))
         kinds |= dict.fromkeys((r["doc_id"] for r in both.collect()), 1)
     kinds |= dict.fromkeys(some(1), 1)
-    wanted = spark.createDataFrame(list(kinds.items()), "doc_id long, toxic int").withColumn("o", F.xxhash64("doc_id"))
+    # From an Arrow table: from a list, every executor would start Python workers of another kind, and keep them.
+    ids = pa.table({"doc_id": pa.array(list(kinds), pa.int64()), "toxic": pa.array(list(kinds.values()), pa.int32())})
+    wanted = spark.createDataFrame(ids).withColumn("o", F.xxhash64("doc_id"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.length("text") <= TRAIN_CHARS)
     # One text per id, however often a table repeats it.
     found = rows.join(F.broadcast(wanted), "doc_id").groupBy("o", "doc_id", "toxic").agg(F.min("text").alias("text"))
@@ -324,10 +340,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             s = np.empty(batch.num_rows)
-            for at in range(0, batch.num_rows, 500):
-                if len(known) > 250_000:
-                    known.clear()
-                s[at : at + 500] = m.scores(pooled(kernel, [words_of(t.as_py()) for t in texts[at : at + 500]], known))
+            for at in range(0, batch.num_rows, TEXTS):
+                s[at : at + TEXTS] = m.scores(pooled(kernel, [words_of(t.as_py()) for t in texts[at : at + TEXTS]], known))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"]
             )

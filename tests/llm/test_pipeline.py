@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 from foliant.llm.decontam import leaks
 
 
@@ -39,3 +41,28 @@ def test_stages_leave_little_in_the_python_workers(spark, sf_dir):
     assert list(_placed(iter([]), {})) == [] and not process_memory("word ids of an earlier stage")
     kept = cp.toxicity(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
     assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()  # staged in bounded batches
+
+
+def test_toxicity_takes_little_memory(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    from foliant.llm import toxicity as tox
+
+    docs = spark.sql("SELECT id AS doc_id, concat('good words and dumbfool', id % 7) AS text FROM range(60)")
+    labels = spark.sql("SELECT id AS doc_id, int(id % 2) AS toxic FROM range(60)")
+    monkeypatch.setattr(SparkContext, "parallelize", None)  # it starts Python workers besides those of the scores
+    assert tox.train(docs, labels).landmarks
+    kernel, texts = tox.Kernel(["dumb", "fool"]), [{f"dumb{i}", f"fool{i % 9}", f"word{i}"} for i in range(400)]
+    whole = tox.pooled(kernel, texts, {})
+    monkeypatch.setattr(tox, "KNOWN", 60)
+    known: dict = {}
+    parts = []
+    for at in range(0, 400, 10):
+        parts += list(tox.pooled(kernel, texts[at : at + 10], known))
+        assert len(known) <= 60 + 30
+    assert abs(whole - parts).max() < 1e-6
+    # Strings that hold a letter group of one row only aren't counted.
+    counted: list[int] = []
+    monkeypatch.setattr(tox, "Counter", lambda *a: counted.append(len(c := Counter(*a))) or c)
+    rare = [{f"abcd{chr(97 + i)}{chr(98 + i)}{chr(99 + i)}wxyz"} for i in range(12)]
+    assert tox.choose_landmarks(rare, [{"plain"}] * 40, 4) and counted[1] <= 10
